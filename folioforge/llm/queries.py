@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from folioforge.llm import bpe, exact_dedup, mixing, secrets, warc
+from folioforge.llm import bpe, exact_dedup, mixing, near_dedup, secrets, topk, warc
 from folioforge.llm.common import table
 
 
@@ -33,16 +33,26 @@ def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_report(table(spark, sf_dir, "documents"))
 
 
+def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
 
 
+def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_dedup(table(spark, sf_dir, "documents"), near_dedup.Near(words=3, percent=85))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_exact_dedup": op2_exact_dedup,
     "op3_bpe": op3_bpe,
     "op5_warc": op5_warc,
     "op6_secrets": op6_secrets,
+    "op7_topk": op7_topk,
     "op9_mixing": op9_mixing,
+    "op10_near_dedup": op10_near_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -63,6 +73,18 @@ ORACLE_SQL: dict[str, str] = {
                CASE WHEN n >= 1000 AND page_id <> winner THEN winner END AS refers_to
         FROM p
     """,
+    "op7_topk": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS q FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ),
+        s AS (
+            SELECT a.vec_id AS query_id, b.vec_id, list_sum(list_transform(list_zip(a.q, b.q), lambda z: z[1] * z[2]))::BIGINT AS score
+            FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0
+        ),
+        r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
+        SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+    """,
     "op9_mixing": """
         WITH RECURSIVE c AS (SELECT source, count(*) AS n FROM documents GROUP BY source),
         t AS (SELECT sum(n) AS n, sum(sqrt(n::DOUBLE)) AS w FROM c),
@@ -86,4 +108,21 @@ ORACLE_SQL: dict[str, str] = {
                ('0x' || substr(md5('mix-order:' || doc_id || ':' || mix_copy), 1, 13))::BIGINT::DOUBLE / 4503599627370496.0 AS mix_key
         FROM m
     """,
+    "op10_near_dedup": """
+        WITH RECURSIVE w AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w
+            FROM documents
+        ),
+        s AS (
+            SELECT DISTINCT doc_id, array_to_string(w[i:i + 2], ' ') AS g
+            FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS i FROM w WHERE len(w) > 0)
+        ),
+        n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+        e AS (SELECT p.a, p.b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+        r AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, e.b FROM r JOIN e ON e.a = r.b),
+        c AS (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY a)
+        SELECT c.doc_id, coalesce(n.n, 0) AS n_shingles, component_id, c.doc_id = component_id AS kept
+        FROM c LEFT JOIN n USING (doc_id)
+    """,
 }
