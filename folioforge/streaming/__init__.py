@@ -1 +1,5 @@
+"""Nothing here on purpose.
 
+A dump is a complete snapshot: rows are deleted because the whole of it lacks
+them. A stream of its parts can't tell that, so updates are batch jobs.
+"""
