@@ -2,51 +2,16 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioforge.session import ship  # noqa: F401  (re-exported)
-
-_OWN_SCRATCH: dict[str, str] = {}
-
-
-def scratch_root(spark: SparkSession) -> str:
-    """The shared folder for intermediate tables.
-
-    It is the cluster's ``spark.checkpoint.dir``; only where that is unset, as
-    in local tests, a temporary folder of this machine is used.
-    """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        app = spark.sparkContext.applicationId
-        if app not in _OWN_SCRATCH:
-            _OWN_SCRATCH[app] = "file://" + tempfile.mkdtemp(prefix="spark-")
-        shared = _OWN_SCRATCH[app]
-    return shared.rstrip("/")
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
-
-
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it again.
+from folioforge.session import materialize, scratch_path, ship
 
-    Later plans start from the files, so a lost executor costs a re-read and
-    not the work that led up to them.
-    """
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+__all__ = ["materialize", "scratch_path", "ship", "shuffle_partitions", "table", "unit_hash"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
