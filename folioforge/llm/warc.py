@@ -251,7 +251,7 @@ class WarcReader(DataSourceReader):
         bins: list[Files] = []
         room = 0
         for x in sorted(found, key=lambda x: (-x.size, x.path)):
-            if x.size > room:
+            if not bins or x.size > room:
                 bins.append(Files())
                 room = self.partition_bytes
             bins[-1].names.append(x.path)
