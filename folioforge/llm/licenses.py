@@ -90,11 +90,11 @@ class Scanner:
         self.words = {n: [w.group().lower() for w in WORD.finditer(t)] for n, t in templates.items()}
         self.most = max(map(len, self.words.values()), default=0)
         self.plain = zstandard.ZstdCompressor(level=3)
-        self.given = {n: zstandard.ZstdCompressor(level=3, dict_data=zstandard.ZstdCompressionDict(t.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)) for n, t in templates.items() if self.words[n]}
+        self.given = {n: zstandard.ZstdCompressor(level=3, dict_data=zstandard.ZstdCompressionDict(" ".join(w).encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)) for n, w in self.words.items() if w}
 
-    def reductions(self, block: str) -> list[tuple[int, str]]:
-        """(bytes saved, template), the most first; of equals the template with more words."""
-        raw = block.encode("utf-8", "surrogatepass")
+    def reductions(self, words: list[str]) -> list[tuple[int, str]]:
+        """(bytes saved, template), the most first; of equals the template with more words. Case, line breaks and punctuation don't count."""
+        raw = " ".join(words).encode("utf-8", "surrogatepass")
         size = len(self.plain.compress(raw))
         return sorted(((size - len(z.compress(raw)), n) for n, z in self.given.items()), key=lambda x: (-x[0], -len(self.words[x[1]]), x[1]))
 
@@ -107,7 +107,7 @@ class Scanner:
             codes: dict[str, int] = {}
             words = np.array([codes.setdefault(w, len(codes)) for _, _, w in spans], np.int64)
             hits = []
-            for saved, name in self.reductions(block):
+            for saved, name in self.reductions([w for _, _, w in spans]):
                 template = np.array([codes.get(w, -2) for w in self.words[name]], np.int64)
                 allowed = int(TOLERANCE * len(template))
                 if saved <= 0 or (template == -2).sum() > allowed:
