@@ -38,8 +38,8 @@ BATCH = 32
 MAP_BITS = 1 << 23
 #: Members of a block, on average, in the exhaustive comparison.
 BLOCK = 256
-#: Distinct words whose hashes a Python worker keeps.
-WORD_TABLE = 500_000
+#: Shingles that are hashed at a time.
+CHUNK = 512
 SEED = 20_240_601
 
 
@@ -73,27 +73,12 @@ class Near:
         return out
 
 
-_WORDS: dict[bytes, int] = {}
-
-
 def shingle_set(text: str | None, words: int) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the shingles; of all words as one where there are fewer."""
     tokens = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not tokens:
         return np.empty(0, np.uint64)
-    try:
-        hashes = [_WORDS[w] for w in tokens]
-    except KeyError:
-        if len(_WORDS) >= WORD_TABLE:
-            _WORDS.clear()
-        digest = xxhash.xxh64_intdigest
-        if len(tokens) > WORD_TABLE:
-            hashes = [digest(w) for w in tokens]
-        else:
-            for w in set(tokens) - _WORDS.keys():
-                _WORDS[w] = digest(w)
-            hashes = [_WORDS[w] for w in tokens]
-    h = np.array(hashes, dtype=np.uint64)
+    h = np.fromiter(map(xxhash.xxh64_intdigest, tokens), np.uint64, len(tokens))
     n = min(words, len(h))
     acc = np.full(len(h) - n + 1, n, np.uint64)
     for j in range(n):
@@ -102,18 +87,25 @@ def shingle_set(text: str | None, words: int) -> np.ndarray:
     return np.unique(acc)
 
 
-def _hash_functions() -> tuple[np.ndarray, np.ndarray]:
-    r = np.random.default_rng(SEED)
-    return r.integers(0, 2**64, (LANES, 1), np.uint64), r.integers(0, 2**63, (LANES, 1), np.uint64) * np.uint64(2) + np.uint64(1)
+class MinHash:
+    """The hash functions, and room for the values of one chunk."""
 
+    def __init__(self) -> None:
+        r = np.random.default_rng(SEED)
+        self.xor = r.integers(0, 2**64, (LANES, 1), np.uint64)
+        self.odd = r.integers(0, 2**63, (LANES, 1), np.uint64) * np.uint64(2) + np.uint64(1)
+        self.room = np.empty((LANES, CHUNK), np.uint64)
 
-def signature(shingles: np.ndarray, functions: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-    """MinHash values (uint32); sets of any size in blocks."""
-    xor, odd = functions
-    out = np.full(LANES, 2**64 - 1, np.uint64)
-    for start in range(0, len(shingles), 1024):
-        np.minimum(out, ((shingles[None, start : start + 1024] ^ xor) * odd).min(axis=1), out=out)
-    return (out >> np.uint64(32)).astype(np.uint32)
+    def signature(self, shingles: np.ndarray) -> np.ndarray:
+        """MinHash values (uint32) of a set of any size."""
+        out = np.full(LANES, 2**64 - 1, np.uint64)
+        for start in range(0, len(shingles), CHUNK):
+            part = shingles[None, start : start + CHUNK]
+            room = self.room[:, : part.shape[1]]
+            np.bitwise_xor(part, self.xor, out=room)
+            np.multiply(room, self.odd, out=room)
+            np.minimum(out, room.min(axis=1), out=out)
+        return (out >> np.uint64(32)).astype(np.uint32)
 
 
 def band_keys(values: np.ndarray, rows: int) -> np.ndarray:
@@ -138,14 +130,14 @@ def features(docs: DataFrame, near: Near) -> DataFrame:
     rows = near.rows
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        functions = _hash_functions()
+        minhash = MinHash()
         for batch in batches:
             n, digests, lanes, bands = [], [], [], []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 s = shingle_set(text.as_py(), near.words)
                 n.append(len(s))
                 if len(s):
-                    values = signature(s, functions)
+                    values = minhash.signature(s)
                     digests.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
                     lanes.append((values & np.uint32(0xFFFF)).astype("<u2").tobytes())
                     bands.append(band_keys(values, rows))
