@@ -72,6 +72,8 @@ def assign_ids(merged: DataFrame, order: Sequence[str]) -> DataFrame:
     """
     merged = materialize(merged, "merged")
     old, new = merged.where("id IS NOT NULL"), merged.where("id IS NULL").drop("id")
+    if new.isEmpty():
+        return old
     top = old.agg(F.max("id")).first()[0] or 0
     place = F.monotonically_increasing_id()
     placed = new.repartitionByRange(*order).sortWithinPartitions(*order).withColumns({"_part": F.shiftright(place, 33), "_at": place.bitwiseAND(F.lit((1 << 33) - 1))})
@@ -80,8 +82,6 @@ def assign_ids(merged: DataFrame, order: Sequence[str]) -> DataFrame:
     for part, n in sorted((r["_part"], r["n"]) for r in placed.groupBy("_part").agg(F.count(F.lit(1)).alias("n")).collect()):
         offsets.append((part, top + 1))
         top += n
-    if not offsets:
-        return old
     # One row for each partition of the sort.
     table = merged.sparkSession.createDataFrame(offsets, "_part long, _first long")
     numbered = placed.join(F.broadcast(table), "_part").withColumn("id", (F.col("_first") + F.col("_at")).cast(merged.schema["id"].dataType))

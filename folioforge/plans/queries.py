@@ -16,9 +16,11 @@ from folioforge.functions import text as X
 from folioforge.operators.dedup import last_wins
 from folioforge.operators.gate import passes
 from folioforge.operators.merge import assign_ids, flag_languages, latest, merge_entity, merge_payload, resolve, sync_links, update_only, upsert
-from folioforge.plans.spec import ENTITIES
+from folioforge.plans.catalogue import ENTITIES as ENTITY_TABLES
+from folioforge.plans.catalogue import LINKS, PAYLOADS, merge_catalogue
+from folioforge.plans.spec import CATALOGUE, ENTITIES
 from folioforge.plans.update import ABANDONED, repair_runs
-from folioforge.session import scratch_path
+from folioforge.session import materialize, scratch_path
 from folioforge.sources.dump import good_rows, read_dump, skip_report
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -310,6 +312,97 @@ def run_log_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest(runs, "source", "id").select("source", "id", "status")
 
 
+# ---- the whole plan ---------------------------------------------------------
+
+#: A snapshot of the catalogue from the given tables: staged table to columns, table, and the rows of the first and of the second run.
+STAGED = {
+    "staging_authors": ("c_custkey::INT AS remote_id, c_name AS first_name, CASE WHEN {run} = 2 AND c_custkey % 9 = 0 THEN 'new' ELSE c_mktsegment END AS last_name, '' AS middle_name, c_custkey AS _ord", "customer", "c_custkey % 8 <> 1", "c_custkey % 7 <> 2"),
+    "staging_books": (
+        "o_orderkey::INT AS remote_id, o_orderpriority AS title, CASE o_orderstatus WHEN 'F' THEN 'ru' WHEN 'O' THEN 'be' ELSE 'en' END AS lang, 'fb2' AS file_type, o_orderdate::DATE AS uploaded, o_orderkey % 50 = 0 AS is_deleted, CASE WHEN {run} = 2 AND o_orderkey % 11 = 0 THEN 7 ELSE 1 END AS pages, 1999::SMALLINT AS year, o_orderkey AS _ord",
+        "orders",
+        "o_orderkey % 10 <> 3",
+        "o_orderkey % 6 <> 5",
+    ),
+    "staging_genres": ("p_partkey::INT AS remote_id, p_brand AS code, p_type AS description, p_name AS meta, p_partkey AS _ord", "part", "p_partkey % 5 <> 0", "p_partkey % 3 <> 0"),
+    "staging_sequences": ("s_suppkey::INT AS remote_id, s_name AS name, s_suppkey AS _ord", "supplier", "s_suppkey % 4 <> 0", "s_suppkey % 4 <> 1"),
+    "staging_book_authors": ("o_orderkey::INT AS book_remote_id, o_custkey::INT AS author_remote_id, o_orderkey AS _ord", "orders", "o_orderkey % 3 <> 0", "o_orderkey % 3 <> 1"),
+    "staging_book_genres": ("l_orderkey::INT AS book_remote_id, l_partkey::INT AS genre_remote_id, l_linenumber AS _ord", "lineitem", "l_linenumber <> 2", "l_linenumber <> 3"),
+    "staging_translations": ("l_orderkey::INT AS book_remote_id, l_suppkey::INT AS author_remote_id, (CASE WHEN {run} = 2 AND l_orderkey % 2 = 0 THEN 9 ELSE 1 END)::SMALLINT AS position, l_linenumber AS _ord", "lineitem", "l_linenumber <> 2", "l_linenumber <> 3"),
+    "staging_book_sequences": ("l_orderkey::INT AS book_remote_id, l_suppkey::INT AS sequence_remote_id, (CASE WHEN {run} = 2 THEN -1 ELSE 1 END * (l_orderkey % 3))::SMALLINT AS position, l_linenumber AS _ord", "lineitem", "l_linenumber <> 4", "l_linenumber <> 5"),
+    "staging_book_annotations": ("doc_id::INT AS book_remote_id, source AS title, CASE WHEN doc_id % 13 <> 0 THEN text END AS text, doc_id AS _ord", "documents", "doc_id % 4 <> 0", "doc_id % 4 <> 1"),
+    "staging_book_annotation_pics": ("doc_id::INT AS book_remote_id, quality::VARCHAR AS file, doc_id AS _ord", "labels", "doc_id % 2 = 0", "doc_id % 3 = 0"),
+    "staging_author_annotations": ("page_id::INT AS author_remote_id, 'page' AS title, html AS text, page_id AS _ord", "pages", "page_id % 4 <> 0", "page_id % 4 <> 1"),
+    "staging_author_annotation_pics": ("page_id::INT AS author_remote_id, url AS file, page_id AS _ord", "pages", "page_id % 2 = 0", "page_id % 3 = 0"),
+}
+
+
+def _snapshot(spark: SparkSession, sf_dir: str, run: int) -> dict[str, DataFrame]:
+    out = {}
+    for name, (columns, table, *rows) in STAGED.items():
+        spark_columns = columns.replace("{run}", str(run)).replace("VARCHAR", "STRING")
+        out[name] = _t(spark, sf_dir, table).where(rows[run - 1]).selectExpr(*_split(spark_columns))
+    return out
+
+
+def _split(columns: str) -> list[str]:
+    """Columns at commas outside parentheses."""
+    out, depth = [""], 0
+    for c in columns:
+        depth += (c == "(") - (c == ")")
+        if c == "," and not depth:
+            out.append("")
+        else:
+            out[-1] += c
+    return out
+
+
+def _whole_plan_sql() -> str:
+    """Counts by table and action of a second run, from set operations on both snapshots."""
+    ctes, parts = [], []
+    for name, (columns, table, *rows) in STAGED.items():
+        for run in (1, 2):
+            ctes.append(f"{name}{run} AS (SELECT {columns.replace('{run}', str(run))} FROM {table} WHERE {rows[run - 1]})")
+    both = "CASE WHEN t.k IS NULL THEN 'insert' WHEN s.k IS NULL THEN {gone} WHEN t.v IS DISTINCT FROM s.v THEN 'update' ELSE 'noop' END AS action"
+    for name, (table, values) in ENTITY_TABLES.items():
+        v = f"row({', '.join(values)}, 0)"
+        if name == "books":
+            v = v.replace("is_deleted", "is_deleted OR lang = 'en'")
+        for run in (1, 2):
+            d = ", is_deleted OR lang = 'en' AS d" if name == "books" else ""
+            ctes.append(f"{name}{run} AS (SELECT remote_id AS k, {v} AS v{d} FROM {table}{run})")
+        ctes.append(f"{name}3 AS (SELECT k FROM {name}1 UNION SELECT k FROM {name}2)")
+        gone = "CASE WHEN t.d THEN 'keep' ELSE 'soft_delete' END" if name == "books" else "'keep'"
+        parts.append(f"SELECT '{name}' AS table_name, {both.format(gone=gone)} FROM {name}1 t FULL OUTER JOIN {name}2 s ON t.k = s.k")
+    for name, (other, end, values) in LINKS.items():
+        v = "abs(arg_max(position, _ord))" if name == "book_sequences" else "arg_max(position, _ord)" if values else "0"
+        for run, known in ((1, 1), (2, 3)):
+            ctes.append(f"{name}{run} AS (SELECT row(book_remote_id, {end}_remote_id) AS k, {v} AS v FROM staging_{name}{run} SEMI JOIN books{known} b ON b.k = book_remote_id SEMI JOIN {other}{known} o ON o.k = {end}_remote_id GROUP BY ALL)".replace("GROUP BY ALL", f"GROUP BY book_remote_id, {end}_remote_id"))
+        parts.append(f"SELECT '{name}' AS table_name, {both.format(gone='NULL')} FROM {name}1 t FULL OUTER JOIN {name}2 s ON t.k = s.k WHERE s.k IS NOT NULL")
+    for name, (owner, end) in PAYLOADS.items():
+        for run, known in ((1, 1), (2, 3)):
+            ctes.append(f"{name}{run} AS (SELECT {end}_remote_id AS k, row(title, text) AS v FROM staging_{name}{run} SEMI JOIN {owner}{known} o ON o.k = {end}_remote_id WHERE text IS NOT NULL)")
+        pics = f"staging_{name[:-1]}_pics"
+        parts.append(f"""
+            SELECT '{name}' AS table_name, CASE WHEN t.k IS NULL THEN 'insert' WHEN t.v IS DISTINCT FROM s.v AND s.k IS NOT NULL OR p2.file IS NOT NULL AND p2.file IS DISTINCT FROM p1.file THEN 'update'
+                   WHEN s.k IS NULL AND p2.file IS NULL THEN 'keep' ELSE 'noop' END AS action
+            FROM {name}1 t FULL OUTER JOIN {name}2 s ON t.k = s.k LEFT JOIN {pics}1 p1 ON p1.{end}_remote_id = t.k LEFT JOIN {pics}2 p2 ON p2.{end}_remote_id = coalesce(t.k, s.k)
+        """)
+    return f"WITH {', '.join(ctes)} SELECT table_name, action, count(*) AS n FROM ({' UNION ALL '.join(parts)}) GROUP BY ALL"
+
+
+@query(_whole_plan_sql())
+def merge_catalogue_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All ten tables merged in two runs: how many rows the second inserted, updated, deleted or left, for each table."""
+    empty = {n: spark.createDataFrame([], schema) for n, schema in CATALOGUE.items()}
+    first = merge_catalogue(_snapshot(spark, sf_dir, 1), empty, 1, ["ru", "be"])
+    held = {n: materialize(df.drop("_action"), n) for n, df in first.items()}
+    counts = None
+    for name, df in merge_catalogue(_snapshot(spark, sf_dir, 2), held, 1, ["ru", "be"]).items():
+        one = df.groupBy(F.lit(name).alias("table_name"), F.col("_action").alias("action")).agg(F.count(F.lit(1)).alias("n"))
+        counts = one if counts is None else counts.unionByName(one)
+    return counts
+
+
 # ---- cleaning ---------------------------------------------------------------
 
 #: Language tags with subtags, spaces and a hard space.
