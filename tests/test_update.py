@@ -93,6 +93,43 @@ def test_runs_publish_versions_and_failures_change_nothing(spark, root, tmp_path
     assert status["running"] is False and status["runs_total"] == 5 and "title" in status["last_result"]
 
 
+def test_files_are_fetched_and_removed(spark, root, tmp_path):
+    class Files(http.server.SimpleHTTPRequestHandler):
+        def __init__(self, *a, **k):
+            super().__init__(*a, directory=str(tmp_path / "www"), **k)
+
+        def log_message(self, *_):
+            pass
+
+    (tmp_path / "www" / "sql").mkdir(parents=True)
+    dumps(tmp_path / "www" / "sql")
+    s = http.server.ThreadingHTTPServer(("127.0.0.1", 0), Files)
+    threading.Thread(target=s.serve_forever, daemon=True).start()
+    files = U.remote_files(f"http://127.0.0.1:{s.server_port}", str(tmp_path / "landing"))
+    u = updater(spark, root)
+    assert u.run(files) == 1 and list((tmp_path / "landing").iterdir()) == []
+    (tmp_path / "www" / "sql" / "lib.libseq.sql.gz").unlink()
+    files = U.remote_files(f"http://127.0.0.1:{s.server_port}/", str(tmp_path / "landing"), attempts=1)
+    with pytest.raises(U.StageFailed, match="lib.libseq.sql"):
+        u.run(files)
+    assert N.current_version(spark, root) == 1 and list((tmp_path / "landing").iterdir()) == []
+    s.shutdown()
+
+
+def test_settings():
+    from folioforge.plans.settings import Settings
+
+    env = {"API_KEY": "k", "BASE_URL": "http://x", "WEBHOOKS": '[{"method": "get", "url": "u", "headers": {"A": "b"}}]'}
+    s = Settings.load(env)
+    assert (s.webhooks, s.languages, s.min_ratio, s.attempts) == ((U.Webhook("u", "GET", {"A": "b"}),), ("ru", "be", "uk"), 0.5, 3)
+    assert Settings.load(env | {"MIN_STAGING_RATIO": "0.9", "ALLOWED_LANGS": "EN"}).min_ratio == 0.9
+    for wrong in ({"MIN_STAGING_RATIO": "x"}, {"ALLOWED_LANGS": ","}, {"WEBHOOKS": "{"}, {"WEBHOOKS": '[{"url": "u", "method": "PUT"}]'}):
+        with pytest.raises(ValueError):
+            Settings.load(env | wrong)
+    with pytest.raises(KeyError):
+        Settings.load({})
+
+
 def test_locks(spark, root, tmp_path):
     u = updater(spark, root)
     u._lock.acquire()
