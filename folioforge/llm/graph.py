@@ -23,7 +23,8 @@ def components(links: DataFrame) -> DataFrame:
     while True:
         near = edges.join(labels, edges["b"] == labels["node"]).groupBy("a").agg(F.min("comp").alias("near"))
         own = labels.join(near, labels["node"] == near["a"]).select("node", F.col("comp").alias("old"), F.least("comp", "near").alias("comp"))
-        roots = own.groupBy(F.col("old").alias("root")).agg(F.min("comp").alias("hook"))
+        # Written before it is joined, so that Spark can split the rows of a hot root.
+        roots = materialize(own.groupBy(F.col("old").alias("root")).agg(F.min("comp").alias("hook")), "roots")
         hooked = materialize(own.join(roots, own["old"] == roots["root"]).select("node", "old", F.least("comp", "hook").alias("comp")), "hooked")
         parents = hooked.select(F.col("node").alias("parent"), F.col("comp").alias("top"))
         jumped = hooked.join(parents, hooked["comp"] == parents["parent"]).select("node", "old", F.col("top").alias("comp"))

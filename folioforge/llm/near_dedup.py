@@ -305,7 +305,8 @@ def near_dedup(docs: DataFrame, near: Near | None = None) -> DataFrame:
 def _class_components(docs: DataFrame, classes: DataFrame, near: Near) -> DataFrame:
     """(node, comp) of the representatives that have links."""
     keys = classes.select(F.explode("bands").alias("key"), "id")
-    shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    # Counts are written before they are joined: only then can Spark split the rows of a hot key.
+    shared = materialize(keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "shared")
     members = materialize(keys.join(shared, "key"), "members")
     wanted = members.select("id").distinct().join(classes.select("id", "digest", "lanes"), "id")
     wanted = materialize(wanted, "wanted")
@@ -313,7 +314,7 @@ def _class_components(docs: DataFrame, classes: DataFrame, near: Near) -> DataFr
     lanes = wanted.select("id", "lanes")
 
     reach = members.groupBy("id").agg(F.sum("n").alias("reach"))
-    hubs = members.join(reach, "id").groupBy("key").agg(F.max_by("id", F.struct("reach", "id")).alias("hub"))
+    hubs = materialize(members.join(reach, "id").groupBy("key").agg(F.max_by("id", F.struct("reach", "id")).alias("hub")), "hubs")
     pairs = members.join(hubs, "key").where("id <> hub").select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct()
     links = materialize(verify(_both(prune(_both(pairs, lanes, "lanes"), near), sets, "set"), near), "links")
     labels = components(links)
@@ -321,6 +322,7 @@ def _class_components(docs: DataFrame, classes: DataFrame, near: Near) -> DataFr
     known = members.join(labels, members["id"] == labels["node"], "left").select("key", "id", "n", F.coalesce("comp", "id").alias("comp"))
     # A bucket of two has been compared as a whole.
     mixed = known.where("n > 2").groupBy("key").agg(F.min("id").alias("first"), F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("key", "first")
+    mixed = materialize(mixed, "buckets")
     left = materialize(known.join(mixed, "key").select("id", "comp", "first"), "mixed")
     if left.isEmpty():
         return labels
