@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from folioforge.llm.common import unit_hash
+from folioforge.llm.common import materialize, unit_hash
 
 #: Sources up to which their rates are broadcast (about 100 bytes each).
 BROADCAST_SOURCES = 10_000
@@ -53,7 +53,7 @@ def source_rates(docs: DataFrame, target_weights: dict[str | None, float] | None
         weight = F.lit(0.0)
         for name, w in target_weights.items():
             weight = F.when(F.col("mix_source").eqNullSafe(F.lit(name)), F.lit(float(w))).otherwise(weight)
-    counts = counts.withColumn("weight", weight)
+    counts = materialize(counts.withColumn("weight", weight), "sources")
     whole = counts.agg(F.sum("n").alias("n"), F.sum("weight").alias("weight")).first()
     if not whole["weight"]:
         return counts.select("mix_source", F.lit(0.0).alias("mix_rate"))
