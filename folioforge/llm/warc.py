@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, EqualNullSafe, EqualTo, GreaterThan, GreaterThanOrEqual, In, InputPartition, IsNotNull, IsNull, LessThan, LessThanOrEqual, Not, StringContains, StringEndsWith, StringStartsWith, WriterCommitMessage
 
-from folioforge.llm.common import scratch_path, ship
+from folioforge.llm.common import materialize, scratch_path, ship
 
 SCHEMA = "record_id string, record_type string, target_uri string, refers_to string, payload_digest string, payload_bytes bigint, payload binary"
 #: Header names of WARC/1.1 behind the columns; the last one is an extension, for the length that a revisit's payload has.
@@ -329,6 +329,8 @@ def page_records(pages: DataFrame) -> DataFrame:
     rows = pages.select("page_id", "url", html.alias("payload"))
     rows = rows.withColumns({"digest": F.sha1("payload"), "n": F.octet_length("payload").cast("long")})
     winners = rows.where(F.col("n") >= REVISIT_BYTES).groupBy(F.col("digest").alias("same")).agg(F.max("page_id").alias("winner"))
+    # Written before it is joined: only then can Spark split the pages of a hot payload.
+    winners = materialize(winners, "winners")
     # Short payloads may be very common: a key of their own spreads them.
     rows = rows.withColumn("key", F.when(F.col("n") >= REVISIT_BYTES, F.col("digest")).otherwise(F.concat(F.lit("-"), F.sha1(F.concat_ws(":", F.lit("page"), "page_id")))))
     joined = rows.join(winners, rows["key"] == winners["same"], "left")
