@@ -2,7 +2,13 @@
 
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame, which ``run``
 writes as Parquet and reads again as the next stage's ``docs``. All stages but
-the last return the columns of ``documents``.
+the last return the columns of ``docs``, extra ones too.
+
+Texts that are null, empty or without letters go in the first stage, as do those
+whose language is not clear; all others are handled whole. Stages that drop
+copies do so by id: rows without one stay, and never win over one with an id;
+rows that repeat an id share its fate, and if it is kept all stay. Null sources
+form a source. Empty tables give empty tables.
 """
 
 from __future__ import annotations
@@ -22,7 +28,8 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
     """``docs`` without the ids that were dropped; a null id drops nothing."""
-    return docs.join(dropped.select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
+    ids = dropped.select(F.col("doc_id").alias("dropped_id"))
+    return docs.join(ids, docs["doc_id"] == ids["dropped_id"], "left_anti")
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

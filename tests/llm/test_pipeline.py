@@ -43,3 +43,29 @@ def test_stages_against_brute_force(spark, tmp_path):
 
 def test_stage_list():
     assert [n for n, _ in C.STAGES] == ["language_id", "exact_dedup", "near_dedup", "mixing", "bpe"]
+
+
+def stages(spark, docs):
+    for _, stage in C.STAGES[:-1]:
+        docs = stage(spark, docs, "")
+    return docs
+
+
+def test_rows_without_id_and_repeated_rows(spark):
+    clean = corpus(90)
+    docs = documents(spark, clean + [(None, clean[4][1], "en", None), (None, "der die und nicht auf mit", "de", None), clean[8], (7000, clean[9][1].upper(), "en", "s")], extra=True)
+    one = C.identify_language(spark, docs, "")
+    two = C.drop_exact_copies(spark, one, "")
+    three = C.drop_near_copies(spark, two, "")
+    assert one.columns == two.columns == three.columns == docs.columns
+    texts = [r["text"] for r in two.where("doc_id IS NULL").collect()]
+    assert sorted(texts) == sorted([clean[4][1], "der die und nicht auf mit"])
+    assert two.where(f"doc_id = {clean[8][0]}").count() == 2
+    assert {r["doc_id"] for r in three.collect()} >= {r["doc_id"] for r in two.collect()} - {7000, None} - {i for i in range(90)}
+    assert three.where("doc_id = 7000").count() == 0
+
+
+def test_empty_documents(spark):
+    docs = stages(spark, documents(spark, []))
+    assert docs.count() == 0
+    assert C.tokenize(spark, docs, "").columns == ["doc_id", "lang", "source", "token_ids", "n_tokens"]
