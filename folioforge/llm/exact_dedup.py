@@ -10,7 +10,6 @@ member; strangers form groups of their own.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa

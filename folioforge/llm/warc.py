@@ -9,7 +9,6 @@ as well; there unwanted payloads are passed over without being kept.
 
 from __future__ import annotations
 
-import posixpath
 import struct
 import uuid
 import zlib
