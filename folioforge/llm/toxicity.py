@@ -1,7 +1,7 @@
 """Toxicity by classifier chains.
 
 Categories are predicted one after the other. Each category has a linear model
-over the words of the whole text and over the probabilities of the categories
+over the words and word beginnings of the whole text and over the probabilities of the categories
 before it; these are out-of-fold predictions when training, so that a later
 model learns from probabilities as good, or bad, as those it will meet.
 """
@@ -24,19 +24,26 @@ from folioforge.llm.ftrl import Penalties, fit_binary
 #: Labelled documents that the chain is fitted on, at most, on average: half of them toxic, if there are as many.
 FIT_DOCS = 4000
 FOLDS = 3
-#: Distinct words whose weights a Python worker keeps.
+#: Distinct words whose features a Python worker keeps.
 WORD_TABLE = 400_000
 WORD = re.compile(r"[^\W\d_]+")
+#: Letters of a word's beginnings, which stand for all its inflections.
+STEMS = (3, 4, 5)
 
 
-def word_hashes(text: str | None) -> np.ndarray:
-    """64-bit hashes of the distinct words, lower-cased."""
-    return np.array(sorted({xxhash.xxh64_intdigest(w) for w in WORD.findall((text or "").lower())}), np.uint64)
+def features_of(word: str) -> list[int]:
+    """64-bit hashes of a lower-case word and of its beginnings."""
+    return [xxhash.xxh64_intdigest(word), *[xxhash.xxh64_intdigest(word[:n] + "*") for n in STEMS if len(word) > n]]
+
+
+def text_features(text: str | None) -> np.ndarray:
+    """The distinct features of a whole text."""
+    return np.array(sorted({h for w in set(WORD.findall((text or "").lower())) for h in features_of(w)}), np.uint64)
 
 
 @dataclass
 class Chain:
-    """``words``: sorted hashes of the words with weight; ``weights``: (words, categories); ``chained[k]``: weights of the log-odds of categories before k."""
+    """``words``: sorted hashes of the features with weight; ``weights``: (words, categories); ``chained[k]``: weights of the log-odds of categories before k."""
 
     names: list[str]
     words: np.ndarray
@@ -66,7 +73,7 @@ def fit(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], balan
     category ``balance``; the intercepts undo that.
     """
     ship(docs.sparkSession)
-    penalties = penalties or Penalties(alpha=0.2, l1=1.0, l2=0.5, epochs=3)
+    penalties = penalties or Penalties(alpha=1.0, l1=5.0, l2=0.1, epochs=8)
     names = list(categories)
     flags = labels.where("doc_id IS NOT NULL").select("doc_id", *[F.coalesce(c, F.lit(False)).alias(n) for n, c in categories.items()])
     flags = flags.groupBy("doc_id").agg(*[F.max(n).alias(n) for n in names])
@@ -78,14 +85,14 @@ def fit(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], balan
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), *batch.columns[2:], pa.array([word_hashes(t.as_py()).astype("<u8").tobytes() for t in batch.column(1)], pa.binary())], names=["doc_id", *names, "words"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), *batch.columns[2:], pa.array([text_features(t.as_py()).astype("<u8").tobytes() for t in batch.column(1)], pa.binary())], names=["doc_id", *names, "words"])
 
     schema = "doc_id long, " + ", ".join(f"`{n}` boolean" for n in names) + ", words binary"
     found = sorted(rows.select(F.col("doc_id").cast("long"), "text", *names).mapInArrow(run, schema).collect(), key=lambda r: (r["doc_id"], bytes(r["words"])))
     sets = [np.frombuffer(r["words"], "<u8") for r in found]
     if not sets:
         return Chain(names, np.empty(0, np.uint64), np.zeros((0, len(names))), [np.zeros(k) for k in range(len(names))], np.full(len(names), -35.0))
-    # Words of a single sampled document carry no evidence.
+    # Features of a single sampled document carry no evidence.
     vocabulary, counts = np.unique(np.concatenate(sets), return_counts=True)
     vocabulary = vocabulary[counts > 1]
     v = len(vocabulary)
@@ -133,7 +140,7 @@ def _checked_broadcast(df: DataFrame, most: int) -> DataFrame:
     return F.broadcast(df) if df.limit(most + 1).count() <= most else df
 
 
-def score(docs: DataFrame, chain: Chain, flag: str, threshold: float = 0.5) -> DataFrame:
+def score(docs: DataFrame, chain: Chain, flag: str, threshold: float = 0.65) -> DataFrame:
     """doc_id, p_<category> for each category, and ``flag`` as boolean, of every row's whole text.
 
     Null and empty texts have no words: they get the intercepts' probabilities
@@ -145,25 +152,24 @@ def score(docs: DataFrame, chain: Chain, flag: str, threshold: float = 0.5) -> D
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = held.value
-        known: dict[str, np.ndarray | None] = {}
-        row = {int(h): w for h, w in zip(c.words, c.weights, strict=True)}
-        zero = np.zeros(len(names))
+        place = {int(h): k for k, h in enumerate(c.words)}
+        known: dict[str, tuple[int, ...]] = {}  # word to its features that have weight
         for batch in batches:
             sums, any_word = np.zeros((batch.num_rows, len(names))), []
             for i, text in enumerate(batch.column(1)):
                 words = set(WORD.findall((text.as_py() or "").lower()))
                 any_word.append(bool(words))
+                held_here: set[int] = set()
                 for w in words:
-                    try:
-                        x = known[w]
-                    except KeyError:
+                    at = known.get(w)
+                    if at is None:
                         if len(known) >= WORD_TABLE:
                             known.clear()
-                        x = known[w] = row.get(xxhash.xxh64_intdigest(w))
-                    if x is not None:
-                        zero += x
-                sums[i] = zero
-                zero[:] = 0
+                        at = known[w] = tuple(place[h] for h in features_of(w) if h in place)
+                    if at:
+                        held_here.update(at)
+                if held_here:
+                    sums[i] = c.weights[sorted(held_here)].sum(axis=0)
             p = c.probabilities(sums)
             hit = (p[:, names.index(flag)] >= threshold) & np.array(any_word, bool)
             yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(p[:, k], pa.float64()) for k in range(len(names))], pa.array(hit, pa.bool_())], names=["doc_id", *[f"p_{n}" for n in names], flag])
