@@ -508,3 +508,12 @@ def dump_skip_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     number = F.when(k % 10 == 0, F.concat(F.lit("'"), k.cast("string"), F.lit("'"))).when(k % 7 == 0, (k + 2147483648).cast("string")).otherwise(k.cast("string"))
     path = _dump(_t(spark, sf_dir, "part"), F.concat(F.lit("("), number, F.lit(","), _literal("p_name"), F.lit(")")), k, spark)
     return skip_report(read_dump(spark, path, ENTITIES["Sequence"]))
+
+
+@query("SELECT l_orderkey::INT AS book_remote_id, l_partkey::INT AS genre_remote_id FROM lineitem")
+def dump_stage_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items as dump lines of links, read back."""
+    rows = _t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    text = F.concat(F.lit("("), F.concat_ws(",", "l_linenumber", "l_orderkey", "l_partkey"), F.lit(")"))
+    path = _dump(rows, text, F.col("l_orderkey"), spark)
+    return good_rows(read_dump(spark, path, ENTITIES["BookGenre"])).select("book_remote_id", "genre_remote_id")
