@@ -36,6 +36,8 @@ PRE_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\p{White_Space}\p{L}\p{
 RARE = r"[^\x00-\u0377\u2000-\u2027\u202f-\u205e\u20ac]"
 #: Entries of the word table and of the transition table in a Python worker; a full table starts anew.
 TABLE_ENTRIES = 400_000
+#: Ids that a task holds for the rows it hands on at a time.
+PART_IDS = 300_000
 #: Longer words are encoded each time they occur.
 WORD_CHARS = 40
 
@@ -244,6 +246,19 @@ def _with_column(batch: pa.RecordBatch, name: str, values: pa.Array) -> pa.Recor
     return pa.RecordBatch.from_arrays([*batch.columns, values], names=[*batch.schema.names, name])
 
 
+def _in_parts(encoded: Iterable[list[int]]) -> Iterator[tuple[int, list[list[int]]]]:
+    """(first row, ids of the rows) of runs of rows that together hold a bounded number of ids, or are one row."""
+    start, part, held = 0, [], 0
+    for ids in encoded:
+        if part and held + len(ids) > PART_IDS:
+            yield start, part
+            start, part, held = start + len(part), [], 0
+        part.append(ids)
+        held += len(ids)
+    if part:
+        yield start, part
+
+
 def encode(docs: DataFrame, vocabulary: str, text_col: str = "text", out_col: str = "token_ids") -> DataFrame:
     """Add ``out_col``, the token ids (array<int>) of each whole text.
 
@@ -259,18 +274,11 @@ def encode(docs: DataFrame, vocabulary: str, text_col: str = "text", out_col: st
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a = automaton(vocabulary)
-        for whole in batches:
-            # A few rows at a time: ids take more room than their text.
-            for start in range(0, whole.num_rows, 500):
-                batch = whole.slice(start, 500)
-                flat: list[np.ndarray] = []
-                offsets = [0]
-                for text in batch.column(at):
-                    ids = np.array(a.encode(text.as_py()), dtype=np.int32)
-                    flat.append(ids)
-                    offsets.append(offsets[-1] + len(ids))
-                values = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(flat) if flat else np.empty(0, np.int32)))
-                yield _with_column(batch, out_col, values)
+        for batch in batches:
+            for start, part in _in_parts(a.encode(t.as_py()) for t in batch.column(at)):
+                offsets = np.concatenate([[0], np.cumsum([len(ids) for ids in part])]).astype(np.int32)
+                flat = np.concatenate([np.array(ids, np.int32) for ids in part]).astype(np.int32)
+                yield _with_column(batch.slice(start, len(part)), out_col, pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)))
 
     return docs.mapInArrow(run, schema)
 
@@ -305,15 +313,14 @@ def digests(docs: DataFrame, vocabulary: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a = automaton(vocabulary)
         numerals = {i: str(i) for i in a.labels}
-        for whole in batches:
-            for start in range(0, whole.num_rows, 200):
-                batch = whole.slice(start, 200)
-                counts, texts, decoded = [], [], []
-                for text in batch.column(1):
-                    ids = a.encode(text.as_py())
-                    counts.append(len(ids))
-                    texts.append(" ".join([numerals[i] for i in ids]))
-                    decoded.append(a.decode(ids))
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(texts, pa.string()), pa.array(decoded, pa.string())], names=["doc_id", "n_tokens", "ids_text", "decoded"])
+        for batch in batches:
+            for start, part in _in_parts(a.encode(t.as_py()) for t in batch.column(1)):
+                columns = [
+                    batch.column(0).slice(start, len(part)),
+                    pa.array([len(ids) for ids in part], pa.int64()),
+                    pa.array([" ".join([numerals[i] for i in ids]) for ids in part], pa.string()),
+                    pa.array([a.decode(ids) for ids in part], pa.string()),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_tokens", "ids_text", "decoded"])
 
     return docs.select("doc_id", "text").mapInArrow(run, schema).select("doc_id", "n_tokens", F.sha2("ids_text", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
