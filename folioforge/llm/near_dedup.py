@@ -37,7 +37,7 @@ BATCH = 32
 #: Bits of the membership map that tells which documents' sets are wanted: its size, and what is broadcast, is fixed (1 MB).
 MAP_BITS = 1 << 23
 #: Members of a block, on average, in the exhaustive comparison.
-BLOCK = 256
+BLOCK = 128
 #: Shingles that are hashed at a time.
 CHUNK = 512
 SEED = 20_240_601
@@ -227,22 +227,25 @@ def full_sets(docs: DataFrame, wanted: DataFrame, near: Near) -> DataFrame:
     return found.join(wanted, ["id", "digest"]).groupBy("id").agg(F.first("set").alias("set"))
 
 
-def compare_blocks(members: DataFrame, near: Near) -> DataFrame:
-    """Links (component a, component b) between members (cluster, id, comp, lanes, set) of one cluster.
+def compare_blocks(members: DataFrame, lanes: DataFrame, sets: DataFrame, near: Near) -> DataFrame:
+    """Links (component a, component b) between members (cluster, id, comp) of one cluster.
 
     The largest component of a cluster has blocks of its own, the other members
     share blocks; blocks are dealt by a hash of the id. Pairs of blocks that
     only hold the largest component are left out. Each task sees two blocks.
+    Lanes and sets are brought in by id, which is even whatever the clusters.
     """
     least = near.least_matches()
     sizes = members.groupBy("cluster", "comp").agg(F.count(F.lit(1)).alias("n"))
     stats = sizes.groupBy("cluster").agg(F.max_by("comp", F.struct("n", "comp")).alias("main"), F.max("n").alias("n_main"), F.sum("n").alias("n_all"))
     stats = stats.select("cluster", "main", F.ceil(F.col("n_main") / BLOCK).cast("int").alias("k_main"), F.ceil((F.col("n_all") - F.col("n_main")) / BLOCK).cast("int").alias("k_pool"))
-    dealt = members.join(stats, "cluster").where("k_pool > 0")
+    # Written before they are joined, so that the members of a hot cluster can be split.
+    dealt = members.join(materialize(stats, "clusters"), "cluster").where("k_pool > 0")
     is_main = F.col("comp") == F.col("main")
     block = F.when(is_main, F.pmod(F.xxhash64("id"), F.col("k_main"))).otherwise(F.col("k_main") + F.pmod(F.xxhash64("id"), F.col("k_pool"))).cast("int")
     first = F.when(is_main, F.col("k_main")).otherwise(F.lit(0))
-    dealt = dealt.withColumn("block", block).withColumn("other", F.explode(F.sequence(first, F.col("k_main") + F.col("k_pool") - 1)))
+    dealt = materialize(dealt.select("cluster", "id", "comp", block.alias("block"), first.alias("first"), (F.col("k_main") + F.col("k_pool") - 1).alias("last")), "dealt")
+    dealt = dealt.join(lanes, "id").join(sets, "id").withColumn("other", F.explode(F.sequence("first", "last")))
     dealt = dealt.select("cluster", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "id", "comp", "lanes", "set")
 
     def run(group: pa.Table) -> pa.Table:
@@ -327,9 +330,8 @@ def _class_components(docs: DataFrame, classes: DataFrame, near: Near) -> DataFr
     if left.isEmpty():
         return labels
     clusters = components(left.select(F.col("id").alias("a"), F.col("first").alias("b")))
-    rest = left.select("id", "comp").distinct().join(clusters.select(F.col("node").alias("id"), F.col("comp").alias("cluster")), "id")
-    rest = rest.join(lanes, "id").join(sets, "id")
-    more = materialize(compare_blocks(rest, near), "more")
+    rest = materialize(left.select("id", "comp").distinct().join(clusters.select(F.col("node").alias("id"), F.col("comp").alias("cluster")), "id"), "rest")
+    more = materialize(compare_blocks(rest, lanes, sets, near), "more")
     if more.isEmpty():
         return labels
     joined = components(more).select(F.col("node").alias("low"), F.col("comp").alias("lower"))
