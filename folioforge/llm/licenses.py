@@ -1,10 +1,10 @@
 """License scans by conditional compression.
 
-A candidate block is compressed with each template as a raw dictionary; the
-template that saves most bytes against compression without one explains the
-block best. Templates are tried in that order, and one wins only if its wording
-is found in the block with few enough word differences, which are counted
-exactly.
+Windows of a candidate block are compressed with each template as a raw
+dictionary; the template that saves most bytes against compression without one
+explains the block best. Templates are ranked by that, none is left out, and one
+wins only if its wording is found in the block with few enough word differences,
+which are counted exactly.
 """
 
 from __future__ import annotations
@@ -65,8 +65,8 @@ def blocks(text: str, most_words: int) -> Iterator[tuple[int, int]]:
         yield start, end
 
 
-def best_match(words: np.ndarray, template: np.ndarray) -> tuple[int, int, int]:
-    """(differences, first, last + 1): the stretch of ``words`` with the fewest word insertions, deletions and changes against the template; the leftmost, then shortest, of equals."""
+def matches_by_end(words: np.ndarray, template: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(differences, first) for every last + 1: the stretch of ``words`` that ends there with the fewest word insertions, deletions and changes against the template."""
     n = len(words)
     cost, begin = np.zeros(n + 1, np.int64), np.arange(n + 1)
     for t in template:
@@ -80,6 +80,12 @@ def best_match(words: np.ndarray, template: np.ndarray) -> tuple[int, int, int]:
         least = np.minimum.accumulate(flat)
         source = np.maximum.accumulate(np.where(flat == least, np.arange(n + 1), 0))
         cost, begin = least + np.arange(n + 1), new_begin[source]
+    return cost, begin
+
+
+def best_match(words: np.ndarray, template: np.ndarray) -> tuple[int, int, int]:
+    """(differences, first, last + 1): the stretch of ``words`` with the fewest differences; the leftmost, then shortest, of equals."""
+    cost, begin = matches_by_end(words, template)
     last = int(np.argmin(cost))
     return int(cost[last]), int(begin[last]), last
 
@@ -89,14 +95,27 @@ class Scanner:
         self.names = list(templates)
         self.words = {n: [w.group().lower() for w in WORD.finditer(t)] for n, t in templates.items()}
         self.most = max(map(len, self.words.values()), default=0)
-        self.plain = zstandard.ZstdCompressor(level=3)
-        self.given = {n: zstandard.ZstdCompressor(level=3, dict_data=zstandard.ZstdCompressionDict(" ".join(w).encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)) for n, w in self.words.items() if w}
+        # The same parameters with and without a dictionary, or the difference would be theirs.
+        same = zstandard.ZstdCompressionParameters.from_level(3, source_size=24 * self.most)
+        self.plain = zstandard.ZstdCompressor(compression_params=same)
+        self.given = {n: zstandard.ZstdCompressor(compression_params=same, dict_data=zstandard.ZstdCompressionDict(" ".join(w).encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)) for n, w in self.words.items() if w}
 
     def reductions(self, words: list[str]) -> list[tuple[int, str]]:
-        """(bytes saved, template), the most first; of equals the template with more words. Case, line breaks and punctuation don't count."""
-        raw = " ".join(words).encode("utf-8", "surrogatepass")
-        size = len(self.plain.compress(raw))
-        return sorted(((size - len(z.compress(raw)), n) for n, z in self.given.items()), key=lambda x: (-x[0], -len(self.words[x[1]]), x[1]))
+        """(bytes saved, template), the most first; of equals the template with more words. Case, line breaks and punctuation don't count.
+
+        The bytes are those of the window where a template saves most. Windows
+        are twice as long as a template and overlap by its length, so that one
+        holds all of a notice and little else: the rest of a long block would
+        hide what a notice saves.
+        """
+        saved: dict[str, int] = {}
+        for i in range(0, max(len(words) - self.most, 1), max(self.most, 1)):
+            raw = " ".join(words[i : i + 2 * self.most]).encode("utf-8", "surrogatepass")
+            size = len(self.plain.compress(raw))
+            for n, z in self.given.items():
+                less = size - len(z.compress(raw))
+                saved[n] = max(saved.get(n, less), less)
+        return sorted(((s, n) for n, s in saved.items()), key=lambda x: (-x[0], -len(self.words[x[1]]), x[1]))
 
     def scan(self, text: str) -> list[tuple[str, int, int, int, int, int]]:
         """(license, start, end, bytes saved, words, differences) of every confirmed notice, by place."""
@@ -110,15 +129,22 @@ class Scanner:
             for saved, name in self.reductions([w for _, _, w in spans]):
                 template = np.array([codes.get(w, -2) for w in self.words[name]], np.int64)
                 allowed = int(TOLERANCE * len(template))
-                if saved <= 0 or (template == -2).sum() > allowed:
+                # Bytes saved only rank: the wording alone decides.
+                if (template == -2).sum() > allowed:
                     continue
-                rest = words.copy()
-                while True:
-                    different, a, b = best_match(rest, template)
-                    if different > allowed or b <= a:
+                rest, again = words.copy(), True
+                while again:
+                    again, free = False, 0
+                    cost, begin = matches_by_end(rest, template)
+                    different = int(cost.min())
+                    if different > allowed:
                         break
-                    hits.append((different / len(template), -len(template), -saved, a, b, name, different))
-                    rest[a:b] = -1
+                    # All that are equally good and apart at once, the leftmost first.
+                    for b in np.flatnonzero(cost == different).tolist():
+                        a = int(begin[b])
+                        if free <= a < b:
+                            hits.append((different / len(template), -len(template), -saved, a, b, name, different))
+                            rest[a:b], free, again = -1, b, True
             # Of notices that overlap, the one with the fewest differences, then the longer one.
             taken: list[tuple[int, int]] = []
             for _, size, saved, a, b, name, different in sorted(hits):
@@ -133,7 +159,8 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None) -> D
     """One row per license notice in a whole text: doc_id, license, start, end (code points), bytes_saved, n_words, n_different, is_exact.
 
     Null and empty texts, and those without a cue word, have none. Repeated rows
-    give their notices each. Other columns are not read.
+    give their notices each. Other columns are not read. ``bytes_saved`` may be
+    zero or less for a short notice: it ranks, the wording decides.
     """
     ship(docs.sparkSession)
     templates = TEMPLATES if templates is None else templates

@@ -53,6 +53,25 @@ def test_near_misses_are_not_licenses():
     assert notices(scanner.scan("Licensed under CC BY-SA 4.0.")) == [("cc-by-sa-4.0-notice", 0)]
 
 
+def prose(r, n):
+    return " ".join("".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(r.randint(2, 9))) for _ in range(n))
+
+
+def test_many_notices_in_one_text():
+    scanner = L.Scanner(L.TEMPLATES)
+    for name in ("apache-2.0-notice", "apache-2.0-header", "mit-notice", "mit-text"):
+        for n in (5, 20, 40):
+            r = random.Random(n)
+            text, at = prose(r, 200), []
+            for _ in range(n):
+                at.append(len(text) + 1)
+                text += " " + L.TEMPLATES[name] + " " + prose(r, 200)
+            found = scanner.scan(text)
+            assert notices(found) == [(name, 0)] * n, (name, n)
+            assert [f[1] for f in found] == at
+            assert all(f[3] > 0 for f in found), (name, n)
+
+
 def test_operator(spark):
     a, m = L.TEMPLATES["apache-2.0-notice"], L.TEMPLATES["mit-text"]
     rows = [(1, "é " + a + " x " + a), (2, None), (3, ""), (4, "clean"), (5, long_text(30_000) + " " + m + " " + long_text(30_000)), (6, m), (6, m), (None, a)]
