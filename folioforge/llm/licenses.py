@@ -10,6 +10,7 @@ which are counted exactly.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -48,7 +49,7 @@ SCHEMA = "doc_id long, license string, start int, end int, bytes_saved int, n_wo
 
 
 def blocks(text: str, most_words: int) -> Iterator[tuple[int, int]]:
-    """(start, end) of the parts of a text that may hold a license: around each cue, as many words to either side as a template has; parts that touch are one, up to a size."""
+    """(start, end) of the parts of a text that may hold a license: around each cue, as many words to either side as a template has; parts that touch are one, up to a size, beyond which the next overlaps it."""
     span = 12 * most_words
     start = end = -1
     for m in _CUE.finditer(text):
@@ -58,8 +59,7 @@ def blocks(text: str, most_words: int) -> Iterator[tuple[int, int]]:
             continue
         if start >= 0:
             yield start, end
-            # Cues of the next part lie after those of this one.
-            a = max(a, min(m.start(), end))
+        # Also after a cut with all words before the cue, for the notice may begin there.
         start, end = a, b
     if start >= 0:
         yield start, end
@@ -119,13 +119,12 @@ class Scanner:
 
     def scan(self, text: str) -> list[tuple[str, int, int, int, int, int]]:
         """(license, start, end, bytes saved, words, differences) of every confirmed notice, by place."""
-        found = []
+        hits = []
         for start, end in blocks(text, self.most):
             block = text[start:end]
             spans = [(m.start(), m.end(), m.group().lower()) for m in WORD.finditer(block)]
             codes: dict[str, int] = {}
             words = np.array([codes.setdefault(w, len(codes)) for _, _, w in spans], np.int64)
-            hits = []
             for saved, name in self.reductions([w for _, _, w in spans]):
                 template = np.array([codes.get(w, -2) for w in self.words[name]], np.int64)
                 allowed = int(TOLERANCE * len(template))
@@ -143,16 +142,19 @@ class Scanner:
                     for b in np.flatnonzero(cost == different).tolist():
                         a = int(begin[b])
                         if free <= a < b:
-                            hits.append((different / len(template), -len(template), -saved, a, b, name, different))
+                            hits.append((different / len(template), -len(template), -saved, start + spans[a][0], start + spans[b - 1][1], name, different))
                             rest[a:b], free, again = -1, b, True
-            # Of notices that overlap, the one with the fewest differences, then the longer one.
-            taken: list[tuple[int, int]] = []
-            for _, size, saved, a, b, name, different in sorted(hits):
-                if all(b <= x or y <= a for x, y in taken):
-                    taken.append((a, b))
-                    found.append((name, start + spans[a][0], start + spans[b - 1][1], -saved, -size, different))
-        # Parts that were cut at a size may have seen a notice twice.
-        return sorted(set(found), key=lambda x: (x[1], x[2], x[0]))
+        # Of notices that overlap, the one with the fewest differences, then the longer one; also of those that two parts saw, whole or in part.
+        found: list[tuple[str, int, int, int, int, int]] = []
+        firsts: list[int] = []
+        lasts: list[int] = []
+        for _, size, saved, a, b, name, different in sorted(hits):
+            k = bisect_left(firsts, b)
+            if k == 0 or lasts[k - 1] <= a:
+                firsts.insert(k, a)
+                lasts.insert(k, b)
+                found.append((name, a, b, -saved, -size, different))
+        return sorted(found, key=lambda x: (x[1], x[2], x[0]))
 
 
 def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None) -> DataFrame:

@@ -72,6 +72,26 @@ def test_many_notices_in_one_text():
             assert all(f[3] > 0 for f in found), (name, n)
 
 
+def test_every_place_around_a_cut():
+    name = "cc0-1.0-notice"
+    notice, scanner = L.TEMPLATES[name], L.Scanner({n: L.TEMPLATES[n] for n in (name, "mit-notice", "gpl-3.0-header")})
+    # Cues near enough to each other for a part of the greatest size, and a long gap after them in which the notice moves.
+    span = 12 * scanner.most
+    lead = ("copyright " + "w " * 20) * (40 * span // 50 - 3)
+    assert len(list(L.blocks(lead + "copyright", scanner.most))) == 1
+    seen = set()
+    for gap in range(0, 3 * span, 5):
+        text = lead + "v " * gap + notice + " " + "v " * 60 + notice
+        parts = list(L.blocks(text, scanner.most))
+        at = [len(lead) + 2 * gap]
+        at.append(at[0] + len(notice) + 121)
+        assert all(any(a <= x and x + len(notice) <= b for a, b in parts) for x in at), gap
+        seen.add(len(parts))
+        if gap % 25 == 0:
+            assert [f[:3] for f in scanner.scan(text)] == [(name, x, x + len(notice) - 1) for x in at], gap
+    assert seen >= {2}
+
+
 def test_operator(spark):
     a, m = L.TEMPLATES["apache-2.0-notice"], L.TEMPLATES["mit-text"]
     rows = [(1, "é " + a + " x " + a), (2, None), (3, ""), (4, "clean"), (5, long_text(30_000) + " " + m + " " + long_text(30_000)), (6, m), (6, m), (None, a)]
