@@ -33,17 +33,20 @@ class EntropyClass:
 
 
 #: A window of 20 holds at most log2(16) = 4 bits of hex digits and log2(20) = 4.32 of base64 characters.
+#: About one in a thousand windows of uniformly random base64 characters stays below 3.5.
 CLASSES = (
     EntropyClass("entropy_hex", r"(?<![0-9A-Za-z])[0-9A-Fa-f]{20,}(?![0-9A-Za-z])", r"[0-9A-Fa-f]{20}", 20, 3.0),
-    EntropyClass("entropy_base64", r"[A-Za-z0-9+/_-]{20,}", r"[A-Za-z0-9+/_-]{20}", 20, 3.9),
+    EntropyClass("entropy_base64", r"[A-Za-z0-9+/_-]{20,}", r"[A-Za-z0-9+/_-]{20}", 20, 3.5),
 )
-#: Candidates that match are no secrets: those without a digit or without a letter (words, numbers), UUIDs, paths of words, placeholders.
+PLACEHOLDER = r"(?:example|placeholder|dummy|xxxx|0123456789|abcdefgh)"
+#: Candidates that match are no secrets: those without a digit or without a letter (words, numbers), UUIDs, paths of words, placeholders
+#: (unless a part between slashes is as long as a window and no placeholder itself).
 ALLOWED = (
     r"^[^0-9]*$",
     r"^[0-9+/_-]*$",
     r"^[0-9a-fA-F]{8}-([0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}$",
     r"^/?([A-Za-z]+[/_-])*[A-Za-z]*[0-9]{0,4}$",
-    r"(?i)example|placeholder|dummy|xxxx|0123456789|abcdefgh",
+    rf"(?i)^(?=.*{PLACEHOLDER})(?!.*(?<![^/])(?![^/]*{PLACEHOLDER})[^/]{{20}})",
 )
 
 

@@ -61,5 +61,24 @@ def test_operator_returns_the_secrets(spark):
     assert [r["base"] for r in rows if r["doc_id"] is None] == [[]]
 
 
+def test_random_strings_are_rich_enough(spark):
+    r = random.Random(11)
+    symbols = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    rows = [(i, "key " + "".join(r.choice(symbols) for _ in range(20)) + " end") for i in range(3000)]
+    rows = [x for x in rows if not any(re.search(a, x[1][4:24]) for a in S.ALLOWED)]
+    got = S.scan_secrets(documents(spark, rows)).where("exists(extra, e -> e.kind = 'entropy_base64' AND e.start = 4 AND e.end = 24)").count()
+    assert len(rows) > 2500 and got >= 0.997 * len(rows)
+
+
+def test_key_beside_a_placeholder_in_a_path(spark):
+    key = "q7Rt2Lm9Xv4Kp8Zn3Wd6Yb1H"
+    texts = [f"GET /example/{key} HTTP", f"GET /{key}/example/a1 HTTP", "wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY", f"/a1/example_{key}/b2"]
+    rows = {x["doc_id"]: x["extra"] for x in S.scan_secrets(documents(spark, list(enumerate(texts)))).collect()}
+    for i in (0, 1):
+        at = texts[i].index(key)
+        assert any(e["start"] <= at and at + len(key) <= e["end"] for e in rows[i])
+    assert rows[2] == rows[3] == []
+
+
 def test_empty_table(spark):
     assert S.secret_report(documents(spark, [])).collect() == []
