@@ -37,6 +37,19 @@ def test_round_trip(spark):
     assert sorted(map(tuple, warc.round_trip(pages(spark, ROWS)).collect()), key=repr) == brute(ROWS)
 
 
+def test_round_trip_pushes_record_types_and_skips_payloads(spark, monkeypatch):
+    read, reads = warc.read_records, []
+
+    def spy(session, path, **options):
+        reads.append(options)
+        return read(session, path, **options)
+
+    monkeypatch.setattr(warc, "read_records", spy)
+    plan = warc.round_trip(pages(spark, ROWS))._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(map(str, reads)) == sorted(map(str, [{}, {"payload": "false"}]))
+    assert "Union" in plan and "Filter" not in plan
+
+
 def test_empty_table(spark):
     assert warc.round_trip(pages(spark, [])).collect() == []
 
