@@ -1,17 +1,19 @@
 """BPE encoding and decoding through a tokenization automaton.
 
-The merges are compiled, in order, into a deterministic automaton over tokens:
-it starts as one state with a loop for each base symbol, and every merge
+The merges define, in order, a deterministic automaton over tokens: it starts
+as one state with a loop for each base symbol, and every merge
 ``a b -> c`` adds one gadget. The gadget copies the state that all ``a`` arcs
 lead to, removes the ``b`` arc from the copy, sends the ``a`` arcs to the copy
 and adds a ``c`` arc, next to every ``a`` arc, to the place where ``b`` leads.
 The automaton accepts exactly the token sequences that merging produces, one
-for each word, so encoding a word is to follow its only accepting path.
-
-States are kept as copy-on-write chains, because a copy differs from its
-original by a single arc: a state is the list of (token whose gadgets apply,
-merge up to which they do). Arcs are looked up in the gadget table and kept in
-a transition table as they are used.
+for each word, so encoding a word is to find its only accepting path.
+
+The automaton is implicit: neither states nor arcs are built when a vocabulary
+is loaded. A state is known by its last token, as the list of (token whose
+gadgets apply, merge up to which they do), because a copy differs from its
+original by a single arc. Whether there is an arc follows from the gadgets of
+the outer parts of two tokens; arcs are tested and kept as they are used, and
+paths are searched with backtracking over a trie of the tokens.
 """
 
 from __future__ import annotations
