@@ -1,20 +1,28 @@
 """Exact top-k search by inner product through a pivot-distance index.
 
-Vectors get one more component that gives all of them the same length; queries
-get a zero there. Then the largest inner product is the smallest distance, and
-the triangle inequality holds: a vector at distance d from its pivot is at
-least |d - D| away from a query at distance D of that pivot.
-
-Every vector is keyed by its nearest pivot and its distance. Distances are cut
-into annuli; an annulus of one pivot is a cell. A query first reads the cells
-with the smallest lower bounds, which gives the k-th best score so far, and
-then only the cells, and in them only the part of the sorted distances, that
-this bound does not rule out.
+Every vector x is keyed by its nearest pivot and its distance d from it;
+distances are cut into annuli, and an annulus of a pivot is a cell. A query q at
+distance D from that pivot is at least |D - d| away from x, so that
+
+    q . x = (|q|^2 + |x|^2 - |q - x|^2) / 2 <= (|q|^2 + |x|^2 - (D - d)^2) / 2.
+
+A query first reads the cells with the largest bounds, which gives the k-th best
+score so far, and then only the cells, and in them only the part of the sorted
+distances, that this score does not rule out. Lengths are those of the vectors
+themselves (of the longest one of a cell), so vectors of any lengths share an
+index without being stretched to one length.
+
+The number of pivots follows the number of vectors. What moves between tasks is
+larger than a cell: cells of neighbouring pivots form a region of bounded size,
+and queries are dealt to slabs of bounded size. A group is one region and one
+slab; its cells are read as matrix products.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
+from math import ceil, sqrt
 
 import numpy as np
 import pyarrow as pa
@@ -26,11 +34,14 @@ from folioforge.llm.common import materialize, ship
 
 #: Vectors on which pivots and annuli are fitted, at most; all vectors are indexed.
 SAMPLE = 4096
-PIVOTS = 32
-ANNULI = 8
-#: Rows that the cells of a query's first round hold at least, and rows of a block of a cell, on average.
-FIRST_ROWS = 2000
-BLOCK_ROWS = 4096
+#: Annuli of a pivot; pivots for n vectors of a dimension are sqrt(n), at most MOST_PIVOTS.
+ANNULI = 4
+MOST_PIVOTS = 1024
+#: Components of the vectors of a region, and of the queries of a slab: what a task holds at a time.
+REGION_VALUES = 1 << 20
+SLAB_VALUES = 1 << 19
+#: Queries that share a matrix product.
+TOGETHER = 64
 #: Below this squared length, inner products of whole numbers are exact in doubles.
 EXACT = float(2**52)
 
@@ -44,48 +55,54 @@ def usable(embedding: Column) -> Column:
     return F.coalesce(embedding.isNotNull() & ~bad, F.lit(False))
 
 
+def distances(x: np.ndarray, points: np.ndarray) -> np.ndarray:
+    return np.sqrt(np.maximum((x * x).sum(axis=1)[:, None] + (points * points).sum(axis=1) - 2 * (x @ points.T), 0))
+
+
+def pivots_for(n: int) -> int:
+    return max(1, min(MOST_PIVOTS, round(sqrt(n))))
+
+
 class Pivots:
-    """Pivots and annulus edges of the vectors of each dimension."""
+    """Pivots and annulus edges of the vectors of each dimension; neighbouring numbers are near each other."""
 
-    def __init__(self, sample: dict[int, np.ndarray], longest: float):
-        self.longest = longest
+    def __init__(self, sample: dict[int, np.ndarray], sizes: dict[int, int]):
         self.points: dict[int, np.ndarray] = {}
         self.edges: dict[int, np.ndarray] = {}
         for dim, rows in sample.items():
-            x = self.lift(rows)
+            x = rows.astype(np.float64)
             r = np.random.default_rng(7)
-            points = x[r.choice(len(x), min(PIVOTS, len(x)), replace=False)]
+            points = x[r.choice(len(x), min(pivots_for(sizes.get(dim, len(x))), len(x)), replace=False)]
             for _ in range(6):
-                near = self._distances(x, points).argmin(axis=1)
+                near = distances(x, points).argmin(axis=1)
                 points = np.stack([x[near == k].mean(axis=0) if (near == k).any() else points[k] for k in range(len(points))])
-            d = self._distances(x, points)
+            points = self._chained(points)
+            d = distances(x, points)
             near, d = d.argmin(axis=1), d.min(axis=1)
             self.points[dim] = points
             self.edges[dim] = np.stack([np.quantile(d[near == k] if (near == k).any() else [0.0], np.arange(1, ANNULI) / ANNULI) for k in range(len(points))])
 
-    def lift(self, rows: np.ndarray) -> np.ndarray:
-        rows = rows.astype(np.float64)
-        return np.concatenate([rows, np.sqrt(np.maximum(self.longest - (rows * rows).sum(axis=1), 0))[:, None]], axis=1)
-
     @staticmethod
-    def _distances(x: np.ndarray, points: np.ndarray) -> np.ndarray:
-        return np.sqrt(np.maximum((x * x).sum(axis=1)[:, None] + (points * points).sum(axis=1) - 2 * (x @ points.T), 0))
+    def _chained(points: np.ndarray) -> np.ndarray:
+        """Each point followed by the nearest of those left."""
+        d = distances(points, points)
+        order, left = [0], set(range(1, len(points)))
+        while left:
+            order.append(min(left, key=lambda k: (d[order[-1], k], k)))
+            left.remove(order[-1])
+        return points[order]
 
     def of(self, dim: int) -> tuple[np.ndarray, np.ndarray]:
         """A dimension that the sample lacks has the origin as its pivot."""
-        return self.points.get(dim, np.zeros((1, dim + 1))), self.edges.get(dim, np.zeros((1, 0)))
+        return self.points.get(dim, np.zeros((1, dim))), self.edges.get(dim, np.zeros((1, 0)))
 
     def key(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(pivot, annulus, distance) of each row."""
         points, edges = self.of(rows.shape[1])
-        d = self._distances(self.lift(rows), points)
+        d = distances(rows.astype(np.float64), points)
         near, d = d.argmin(axis=1), d.min(axis=1)
         return near, (d[:, None] > edges[near]).sum(axis=1), d
 
-    def from_query(self, rows: np.ndarray) -> np.ndarray:
-        rows = rows.astype(np.float64)
-        return self._distances(np.concatenate([rows, np.zeros((len(rows), 1))], axis=1), self.of(rows.shape[1])[0])
-
 
 def _by_dim(values: list[bytes], dtype: str) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(dimension, positions, rows) of packed vectors."""
@@ -97,17 +114,18 @@ def _by_dim(values: list[bytes], dtype: str) -> Iterator[tuple[int, np.ndarray,
 
 
 def build_index(vectors: DataFrame) -> tuple[DataFrame, Pivots, str]:
-    """(vec_id, dim, pivot, annulus, dist, vec) of every usable vector; the pivots; how ``vec`` is packed."""
+    """(row, vec_id, dim, pivot, annulus, dist, norm2, vec) of every usable vector; the pivots; how ``vec`` is packed."""
     ship(vectors.sparkSession)
     rows = vectors.where(F.col("vec_id").isNotNull() & usable(F.col("embedding"))).select(F.col("vec_id").cast("long").alias("vec_id"), quantize(F.col("embedding")).alias("q"))
     norm = F.aggregate("q", F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double"))
-    longest = rows.agg(F.max(norm).alias("m")).first()["m"] or 0.0
-    dtype = "<i2" if longest <= 32767.0**2 else "<i8"
+    # One row for each dimension there is.
+    shape = {r["dim"]: r for r in rows.groupBy(F.size("q").alias("dim")).agg(F.max(norm).alias("longest"), F.count(F.lit(1)).alias("n")).collect()}
+    dtype = "<i2" if max((r["longest"] or 0.0 for r in shape.values()), default=0.0) <= 32767.0**2 else "<i8"
     sample: dict[int, list] = {}
     for row in rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("q").collect():
         sample.setdefault(len(row["q"]), []).append(row["q"])
-    pivots = Pivots({dim: np.array(x, np.int64).reshape(len(x), dim) for dim, x in sample.items()}, longest)
-    schema = "vec_id long, dim int, pivot int, annulus int, dist double, vec binary"
+    pivots = Pivots({dim: np.array(x, np.int64).reshape(len(x), dim) for dim, x in sample.items()}, {dim: r["n"] for dim, r in shape.items()})
+    schema = "vec_id long, dim int, pivot int, annulus int, dist double, norm2 double, vec binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -115,30 +133,87 @@ def build_index(vectors: DataFrame) -> tuple[DataFrame, Pivots, str]:
                 continue
             packed = [np.array(v.as_py(), np.int64).astype(dtype).tobytes() for v in batch.column(1)]
             n = batch.num_rows
-            dims, near, ring, dist = np.zeros(n, np.int32), np.zeros(n, np.int32), np.zeros(n, np.int32), np.zeros(n)
+            dims, near, ring, dist, norm2 = np.zeros(n, np.int32), np.zeros(n, np.int32), np.zeros(n, np.int32), np.zeros(n), np.zeros(n)
             for dim, at, x in _by_dim(packed, dtype):
-                dims[at] = dim
+                dims[at], norm2[at] = dim, (x.astype(np.float64) ** 2).sum(axis=1)
                 near[at], ring[at], dist[at] = pivots.key(x)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(dims), pa.array(near), pa.array(ring), pa.array(dist), pa.array(packed, pa.binary())], names=["vec_id", "dim", "pivot", "annulus", "dist", "vec"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(dims), pa.array(near), pa.array(ring), pa.array(dist), pa.array(norm2), pa.array(packed, pa.binary())], names=["vec_id", "dim", "pivot", "annulus", "dist", "norm2", "vec"])
+
+    # The row number is written, and so fixed, before anything is dealt by it.
+    return materialize(rows.mapInArrow(run, schema).withColumn("row", F.monotonically_increasing_id()), "vectors"), pivots, dtype
+
 
-    return materialize(rows.mapInArrow(run, schema), "vectors"), pivots, dtype
+@dataclass
+class Cells:
+    """The cells of a dimension, in order of their pivots; ``first_region`` and ``regions`` say where each one's rows are."""
 
+    pivot: np.ndarray
+    low: np.ndarray
+    high: np.ndarray
+    norm2: np.ndarray
+    n: np.ndarray
+    first_region: np.ndarray
+    regions: np.ndarray
 
-VISITS = "query_id long, query binary, bound double, from_pivot double, dim int, pivot int, annulus int, block int"
-HITS = "query_id long, query binary, vec_id long, score long"
+    def bounds(self, q2: np.ndarray, far: np.ndarray) -> np.ndarray:
+        """(queries, cells): no row of the cell has a larger product with the query; ``far`` has distances of queries from pivots.
 
+        A little is added for rounding.
+        """
+        d = far[:, self.pivot]
+        gap = np.maximum(0, np.maximum(d - self.high, self.low - d))
+        most = q2[:, None] + self.norm2
+        return (most - gap * gap) / 2 + 1e-9 * most + 1e-6
 
-def _visits(queries: DataFrame, pivots: Pivots, cells: list, dtype: str, first: bool) -> DataFrame:
-    """Cells that each (query_id, query, bound) has to read in this round, one row per block of a cell.
 
-    The first round takes the cells with the smallest lower bounds until they
-    hold enough rows; the second takes, of the others, those that may hold a
-    score of ``bound`` or more (null: all).
+def lay_out(stats: list, sizes: dict[int, int]) -> tuple[dict[int, Cells], list[tuple[int, int, int, int, int, int, int]]]:
+    """The cells of each dimension, and (dim, pivot, annulus, cell, first region, regions, slabs) of each.
+
+    ``sizes`` counts queries. Cells fill a region up to its size, one after the
+    other; a larger cell has regions of its own, to which its rows are dealt.
     """
     by_dim: dict[int, list] = {}
-    for c in cells:
+    for c in stats:
         by_dim.setdefault(c["dim"], []).append(c)
-    tables = {dim: {k: np.array([c[k] for c in cs]) for k in ("pivot", "annulus", "low", "high", "n", "blocks")} for dim, cs in by_dim.items()}
+    cells, rows, region = {}, [], -1
+    for dim, found in sorted(by_dim.items()):
+        found.sort(key=lambda c: (c["pivot"], c["annulus"]))
+        room_of = max(1, REGION_VALUES // max(1, dim))
+        slabs = max(1, ceil(sizes.get(dim, 0) / max(1, SLAB_VALUES // max(1, dim))))
+        room, first, many = 0, [], []
+        for c in found:
+            if c["n"] > room_of:
+                first.append(region + 1)
+                many.append(ceil(c["n"] / room_of))
+                region, room = region + many[-1], 0
+            else:
+                if c["n"] > room:
+                    region, room = region + 1, room_of
+                first.append(region)
+                many.append(1)
+                room -= c["n"]
+        column = lambda k: np.array([c[k] for c in found])  # noqa: B023, E731
+        cells[dim] = Cells(column("pivot"), column("low"), column("high"), column("norm2"), column("n"), np.array(first), np.array(many))
+        rows += [(dim, c["pivot"], c["annulus"], k, first[k], many[k], slabs) for k, c in enumerate(found)]
+    return cells, rows
+
+
+VISITS = "query_id long, query binary, bound double, region int, cells array<int>"
+HITS = "query_id long, query binary, vec_id long, score long, scored long"
+
+
+def first_rows(n: int, k: int) -> int:
+    """Rows that the cells of a query's first round hold at least, of n."""
+    return max(k + 1, ceil(4 * sqrt(n)))
+
+
+def _visits(queries: DataFrame, pivots: Pivots, cells: dict[int, Cells], dtype: str, k: int, first: bool) -> DataFrame:
+    """Regions, and cells in them, that each (query_id, query, bound) has to read in this round.
+
+    The first round takes the cells with the largest bounds until they hold
+    enough rows; the second takes, of the others, those that may hold a score of
+    ``bound`` or more (null: all).
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -147,87 +222,157 @@ def _visits(queries: DataFrame, pivots: Pivots, cells: list, dtype: str, first:
                 ids, packed, bounds = part.column(0).to_pylist(), part.column(1).to_pylist(), part.column(2).to_pylist()
                 out: list[tuple] = []
                 for dim, at, x in _by_dim(packed, dtype):
-                    t, far = tables[dim], pivots.from_query(x)
-                    for k, q, d in zip(at, x.astype(np.float64), far, strict=True):
-                        d = d[t["pivot"]]
-                        low = np.maximum(0, np.maximum(d - t["high"], t["low"] - d))
-                        order = np.argsort(low, kind="stable")
-                        begun = int(np.searchsorted(np.cumsum(t["n"][order]), FIRST_ROWS)) + 1
+                    c, x = cells[dim], x.astype(np.float64)
+                    most = c.bounds((x * x).sum(axis=1), distances(x, pivots.of(dim)[0]))
+                    enough = first_rows(int(c.n.sum()), k)
+                    for i, ub in zip(at, most, strict=True):
+                        order = np.argsort(-ub, kind="stable")
+                        begun = int(np.searchsorted(np.cumsum(c.n[order]), enough)) + 1
                         order = order[:begun] if first else order[begun:]
-                        if not first and bounds[k] is not None:
-                            order = order[low[order] <= _radius(q, pivots.longest, bounds[k])]
-                        for c in order:
-                            out += [(ids[k], packed[k], bounds[k], d[c], dim, t["pivot"][c], t["annulus"][c], b) for b in range(t["blocks"][c])]
+                        if not first and bounds[i] is not None:
+                            order = order[ub[order] >= bounds[i]]
+                        wanted: dict[int, list[int]] = {}
+                        for cell in order.tolist():
+                            for region in range(c.first_region[cell], c.first_region[cell] + c.regions[cell]):
+                                wanted.setdefault(region, []).append(cell)
+                        out += [(ids[i], packed[i], bounds[i], region, found) for region, found in wanted.items()]
                 if out:
-                    kinds = (pa.int64(), pa.binary(), pa.float64(), pa.float64(), pa.int32(), pa.int32(), pa.int32(), pa.int32())
-                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names=["query_id", "query", "bound", "from_pivot", "dim", "pivot", "annulus", "block"])
+                    kinds = (pa.int64(), pa.binary(), pa.float64(), pa.int32(), pa.list_(pa.int32()))
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], names=["query_id", "query", "bound", "region", "cells"])
 
     return queries.select("query_id", "query", "bound").mapInArrow(run, VISITS)
 
 
-def _radius(q: np.ndarray, longest: float, bound: float) -> float:
-    """Distance at which the score is ``bound``, and a little more than rounding may cost."""
-    return float(np.sqrt(max((q * q).sum() + longest - 2 * bound, 0))) * (1 + 1e-9) + 1e-6 * (1 + np.sqrt(longest))
+def _best(who: np.ndarray, ids: np.ndarray, score: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The k best of each ``who``, in order; ties go to the smaller id."""
+    order = np.lexsort((ids, -score, who))
+    who, ids, score = who[order], ids[order], score[order]
+    keep = np.arange(len(who)) - np.searchsorted(who, who) < k
+    return who[keep], ids[keep], score[keep]
+
+
+def read_region(held: pa.Table, asked: pa.Table, pivots: Pivots, dtype: str, exact: bool, k: int) -> pa.Table:
+    """The best k of a region for each of its visitors, and how many rows were scored for it."""
+    names = ["query_id", "query", "vec_id", "score", "scored"]
+    found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    query_ids, packed = asked["query_id"].to_numpy(), asked["query"].to_pylist()
+    scored = np.zeros(len(packed), np.int64)
+    if held.num_rows and len(packed):
+        kind = np.float64 if exact else np.int64
+        cell, dist = held["cell"].to_numpy(), held["dist"].to_numpy()
+        order = np.lexsort((dist, cell))
+        cell, dist, ids, norm2 = cell[order], dist[order], held["vec_id"].to_numpy()[order], held["norm2"].to_numpy()[order]
+        x = np.frombuffer(b"".join(held["vec"].to_pylist()), dtype).reshape(len(order), -1)[order].astype(kind)
+        pivot = held["pivot"].to_numpy()[order]
+        q = np.frombuffer(b"".join(packed), dtype).reshape(len(packed), -1).astype(kind)
+        q2, far = (q.astype(np.float64) ** 2).sum(axis=1), distances(q.astype(np.float64), pivots.of(x.shape[1])[0])
+        bound = np.array([-np.inf if b is None else b for b in asked["bound"].to_pylist()])
+        # Which queries ask for which cell, cell after cell.
+        lists = asked["cells"].to_pylist()
+        who, what = np.repeat(np.arange(len(lists)), [len(c) for c in lists]), np.array([c for found_cells in lists for c in found_cells], np.int64)
+        by_cell = np.argsort(what, kind="stable")
+        who, what = who[by_cell], what[by_cell]
+        for c in np.unique(what):
+            a, b = np.searchsorted(cell, (c, c + 1))
+            if a == b:
+                continue
+            visitors = who[np.searchsorted(what, c) : np.searchsorted(what, c + 1)]
+            d = far[visitors, pivot[a]]
+            most = q2[visitors] + norm2[a:b].max()
+            reach = np.sqrt(np.maximum(most - 2 * bound[visitors], 0) + 1e-8 * most + 1e-5)
+            near_first = np.argsort(d, kind="stable")
+            for start in range(0, len(near_first), TOGETHER):
+                some = near_first[start : start + TOGETHER]
+                lo = a + np.searchsorted(dist[a:b], d[some] - reach[some], "left")
+                hi = a + np.searchsorted(dist[a:b], d[some] + reach[some], "right")
+                lo, hi = int(lo.min()), int(hi.max())
+                if lo >= hi:
+                    continue
+                v = visitors[some]
+                scored[v] += hi - lo
+                score = q[v] @ x[lo:hi].T
+                good = (score >= bound[v][:, None]) & (query_ids[v][:, None] != ids[lo:hi])
+                if hi - lo > k:
+                    # Nothing below a query's k-th best here can count.
+                    shown = np.where(good, score, np.iinfo(np.int64).min if kind is np.int64 else -np.inf)
+                    good &= shown >= np.partition(shown, hi - lo - k, axis=1)[:, hi - lo - k][:, None]
+                i, j = np.nonzero(good)
+                i, near, got = _best(i, ids[lo + j], score[i, j], k)
+                found.append((v[i], near, got.astype(np.int64)))
+                full, at = np.unique(i, return_index=True)
+                last = at + k - 1
+                held_k = (last < len(i)) & (i[np.minimum(last, len(i) - 1)] == full) if len(i) else np.empty(0, bool)
+                bound[v[full[held_k]]] = np.maximum(bound[v[full[held_k]]], got[last[held_k]])
+    if found:
+        who, ids, score = _best(*(np.concatenate(c) for c in zip(*found, strict=True)), k)
+    else:
+        who = ids = score = np.empty(0, np.int64)
+    # A visitor without hits keeps a row without vector, for what was scored.
+    none = np.setdiff1d(np.arange(len(packed)), who)
+    first = np.concatenate([np.ones(min(1, len(who)), bool), who[1:] != who[:-1]]) if len(who) else np.empty(0, bool)
+    rows = np.concatenate([who, none]).astype(np.int64)
+    columns = (
+        pa.array(query_ids[rows], pa.int64()),
+        pa.array([packed[r] for r in rows], pa.binary()),
+        pa.array([*ids.tolist(), *[None] * len(none)], pa.int64()),
+        pa.array([*score.tolist(), *[None] * len(none)], pa.int64()),
+        pa.array(np.concatenate([np.where(first, scored[who], 0), scored[none]]).astype(np.int64)),
+    )
+    return pa.table(list(columns), names=names)
+
+
+def _read(index: DataFrame, visits: DataFrame, pivots: Pivots, dtype: str, exact: bool, k: int) -> DataFrame:
+    def run(held: pa.Table, asked: pa.Table) -> pa.Table:
+        return read_region(held, asked, pivots, dtype, exact, k)
 
+    return index.groupBy("region", "slab").cogroup(visits.groupBy("region", "slab")).applyInArrow(run, HITS)
 
-def _read_cells(index: DataFrame, visits: DataFrame, longest: float, dtype: str, k: int) -> DataFrame:
-    """The best k of each block for each of its visitors."""
 
-    def run(held: pa.Table, asked: pa.Table) -> pa.Table:
-        out: list[tuple[int, bytes, int, int]] = []
-        if held.num_rows and asked.num_rows:
-            order = np.argsort(held["dist"].to_numpy(), kind="stable")
-            dist, ids = held["dist"].to_numpy()[order], held["vec_id"].to_numpy()[order]
-            x = np.frombuffer(b"".join(held["vec"].to_pylist()), dtype).reshape(held.num_rows, -1)[order].astype(np.float64 if longest < EXACT else np.int64)
-            for query_id, packed, bound, far in zip(*(asked[c].to_pylist() for c in ("query_id", "query", "bound", "from_pivot")), strict=True):
-                q = np.frombuffer(packed, dtype).astype(x.dtype)
-                lo, hi = 0, len(x)
-                if bound is not None:
-                    r = _radius(q.astype(np.float64), longest, bound)
-                    lo, hi = np.searchsorted(dist, far - r, "left"), np.searchsorted(dist, far + r, "right")
-                score, near = x[lo:hi] @ q, ids[lo:hi]
-                keep = near != query_id
-                if bound is not None:
-                    keep &= score >= bound
-                score, near = score[keep], near[keep]
-                if len(score) > k:
-                    keep = score >= np.partition(score, len(score) - k)[len(score) - k]
-                    score, near = score[keep], near[keep]
-                best = np.lexsort((near, -score))[:k]
-                out += [(query_id, packed, int(near[b]), int(score[b])) for b in best]
-        columns = list(zip(*out, strict=True)) or [()] * 4
-        return pa.table([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.binary(), pa.int64(), pa.int64()), strict=True)], names=["query_id", "query", "vec_id", "score"])
-
-    keys = ["dim", "pivot", "annulus", "block"]
-    return index.groupBy(*keys).cogroup(visits.groupBy(*keys)).applyInArrow(run, HITS)
-
-
-def top_k(vectors: DataFrame, is_query: Column | None = None, k: int = 5) -> DataFrame:
+def top_k(vectors: DataFrame, is_query: Column | None = None, k: int = 5, with_cost: bool = False) -> DataFrame:
     """(query_id, rank, vec_id, score): the k largest inner products of each query with the rows of other ids.
 
-    ``vectors`` has vec_id and embedding; components x count as floor(256 * x).
-    Queries are the rows of ``is_query`` (default: ids divisible by 50). Ties go
-    to the smaller vec_id. Rows whose vector is null or holds null or a
-    non-finite component, and rows without id, take no part; vectors are
-    compared with those of the same dimension; empty vectors score 0. A
-    repeated query row gives one answer; a repeated candidate counts as often
-    as it is there. With fewer than k candidates all are returned.
+    ``vectors`` has vec_id and embedding; components x count as floor(256 * x);
+    other columns, whatever their names, are not read. Queries are the rows of
+    ``is_query`` (default: ids divisible by 50). Ties go to the smaller vec_id.
+    Rows whose vector is null or holds null or a non-finite component, and rows
+    without id, take no part; vectors are compared with those of the same
+    dimension, however long; empty vectors score 0. A repeated query row gives
+    one answer; a repeated candidate counts as often as it is there. With fewer
+    than k candidates all are returned; an empty table has no answers.
+    ``with_cost`` adds ``n_scored``, the rows that were scored for the query.
     """
     is_query = F.col("vec_id") % 50 == 0 if is_query is None else is_query
-    index, pivots, dtype = build_index(vectors)
-    stats = index.groupBy("dim", "pivot", "annulus").agg(F.min("dist").alias("low"), F.max("dist").alias("high"), F.count(F.lit(1)).alias("n"))
-    # At most PIVOTS * ANNULI cells for each dimension.
-    cells = [c.asDict() | {"blocks": -(-c["n"] // BLOCK_ROWS)} for c in stats.collect()]
     spark = vectors.sparkSession
-    blocks = spark.createDataFrame([(c["dim"], c["pivot"], c["annulus"], c["blocks"]) for c in cells], "dim int, pivot int, annulus int, blocks int")
-    dealt = index.join(F.broadcast(blocks), ["dim", "pivot", "annulus"]).withColumn("block", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int"))
-    queries = index.where(is_query).select(F.col("vec_id").alias("query_id"), F.col("vec").alias("query")).distinct()
+    index, pivots, dtype = build_index(vectors)
+    # At most MOST_PIVOTS * ANNULI cells for each dimension.
+    stats = [c.asDict() for c in index.groupBy("dim", "pivot", "annulus").agg(F.min("dist").alias("low"), F.max("dist").alias("high"), F.max("norm2").alias("norm2"), F.count(F.lit(1)).alias("n")).collect()]
+    exact = max((c["norm2"] for c in stats), default=0.0) < EXACT
+    queries = materialize(index.where(is_query).select(F.col("vec_id").alias("query_id"), F.col("vec").alias("query"), "dim").distinct(), "queries")
+    cells, rows = lay_out(stats, {r["dim"]: r["n"] for r in queries.groupBy("dim").agg(F.count(F.lit(1)).alias("n")).collect()})
+    places = spark.createDataFrame(rows, "dim int, pivot int, annulus int, cell int, first_region int, regions int, slabs int")
+    slabs_of = spark.createDataFrame(sorted({(r[0], r[6]) for r in rows}), "dim int, slabs int")
+    dealt = index.join(F.broadcast(places), ["dim", "pivot", "annulus"])
+    dealt = dealt.select("vec_id", "vec", "dist", "norm2", "pivot", "cell", (F.col("first_region") + F.pmod(F.xxhash64("row"), "regions")).cast("int").alias("region"), F.explode(F.sequence(F.lit(0), F.col("slabs") - 1)).alias("slab"))
+    queries = queries.select("query_id", "query")
+
+    def visit(asked: DataFrame, first: bool) -> DataFrame:
+        visits = _visits(asked, pivots, cells, dtype, k, first)
+        return _read(dealt, _with_slab(visits, slabs_of, dtype), pivots, dtype, exact, k)
 
     best = Window.partitionBy("query_id", "query").orderBy(F.desc("score"), "vec_id")
-    start = _visits(queries.withColumn("bound", F.lit(None).cast("double")), pivots, cells, dtype, True)
-    hits = materialize(_read_cells(dealt, start, pivots.longest, dtype, k), "hits")
-    bounds = hits.withColumn("rank", F.row_number().over(best)).where(F.col("rank") == k).select("query_id", "query", F.col("score").cast("double").alias("bound"))
+    hits = materialize(visit(queries.withColumn("bound", F.lit(None).cast("double")), True), "hits")
+    bounds = hits.where("vec_id IS NOT NULL").withColumn("rank", F.row_number().over(best)).where(F.col("rank") == k).select("query_id", "query", F.col("score").cast("double").alias("bound"))
     bounded = materialize(queries.join(bounds, ["query_id", "query"], "left"), "bounds")
-    more = _read_cells(dealt, _visits(bounded, pivots, cells, dtype, False), pivots.longest, dtype, k)
-    ranked = hits.unionByName(more).withColumn("rank", F.row_number().over(best))
-    return ranked.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    both = hits.unionByName(visit(bounded, False))
+    ranked = both.where("vec_id IS NOT NULL").withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+    if not with_cost:
+        return ranked.select("query_id", "rank", "vec_id", "score")
+    cost = both.groupBy("query_id", "query").agg(F.sum("scored").alias("n_scored"))
+    return ranked.join(cost, ["query_id", "query"]).select("query_id", "rank", "vec_id", "score", "n_scored")
+
+
+def _with_slab(visits: DataFrame, slabs_of: DataFrame, dtype: str) -> DataFrame:
+    """The slab of a query, from what a visit carries."""
+    dim = (F.octet_length("query") / np.dtype(dtype).itemsize).cast("int")
+    dealt = visits.withColumn("dim", dim).join(F.broadcast(slabs_of), "dim")
+    return dealt.select("query_id", "query", "bound", "region", "cells", F.pmod(F.xxhash64("query_id", "query"), "slabs").cast("int").alias("slab"))
