@@ -1,19 +1,25 @@
 """BPE encoding and decoding through a tokenization automaton.
 
-The merges define, in order, a deterministic automaton over tokens: it starts
-as one state with a loop for each base symbol, and every merge
-``a b -> c`` adds one gadget. The gadget copies the state that all ``a`` arcs
-lead to, removes the ``b`` arc from the copy, sends the ``a`` arcs to the copy
-and adds a ``c`` arc, next to every ``a`` arc, to the place where ``b`` leads.
-The automaton accepts exactly the token sequences that merging produces, one
-for each word, so encoding a word is to find its only accepting path.
-
-The automaton is implicit: neither states nor arcs are built when a vocabulary
-is loaded. A state is known by its last token, as the list of (token whose
-gadgets apply, merge up to which they do), because a copy differs from its
-original by a single arc. Whether there is an arc follows from the gadgets of
-the outer parts of two tokens; arcs are tested and kept as they are used, and
-paths are searched with backtracking over a trie of the tokens.
+The merges define, in order, a deterministic automaton over tokens. It starts
+as one state with a loop for each base symbol. All arcs of a label lead to the
+same state, and every merge ``a b -> c`` adds one gadget: the state that the
+``a`` arcs lead to is copied without its ``b`` arc, the ``a`` arcs are sent to
+the copy, and next to every ``a`` arc a ``c`` arc goes to where ``b`` leads. The
+automaton accepts exactly the token sequences that merging produces, one for
+each word, so encoding a word is to find its only accepting path.
+
+It is compiled merge by merge when a vocabulary is loaded, into two tables: the
+state that each label leads to, and for each state a row of bits, one for each
+label, that says which arcs it has. Rows of states that no arc leads to any more
+are used again, so the table has a row for each state that is left in the end.
+
+A gadget's ``c`` arcs go by the ``a`` arcs of every state, also of states that
+are copied later. Labels are therefore numbered so that those which start with
+the same label, at any number of merges back, follow it in the order of their
+making: a state that loses its ``b`` arc when ``c`` is made loses with it the
+arcs that would be made from ``b`` from then on, and these are the end of the
+numbers that follow ``b``. One copied row with one stretch of bits cleared is
+then all that a gadget takes.
 """
 
 from __future__ import annotations
@@ -21,6 +27,7 @@ from __future__ import annotations
 import json
 import unicodedata
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,12 +38,11 @@ from pyspark.sql import types as T
 
 from folioforge.llm.common import ship
 
-_NEVER = 1 << 60
 #: The pre-split pattern, special tokens' strings aside, of the vocabulary file's format.
 PRE_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\p{White_Space}\p{L}\p{N}]+"
 #: Characters whose class depends on the version of Unicode; texts with any are split by the format's own splitter.
 RARE = r"[^\x00-\u0377\u2000-\u2027\u202f-\u205e\u20ac]"
-#: Entries of the word table and of the transition table in a Python worker; a full table starts anew.
+#: Entries of the word table in a Python worker; a full table starts anew.
 TABLE_ENTRIES = 400_000
 #: Ids that a task holds for the rows it hands on at a time.
 PART_IDS = 300_000
@@ -51,6 +57,20 @@ def byte_symbols() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+def _clear(row: np.ndarray, first: int, end: int) -> None:
+    """Set bits from ``first`` up to ``end`` of a row to 0."""
+    if first >= end:
+        return
+    a, b = first >> 3, end >> 3
+    if a == b:
+        row[a] &= 255 ^ ((1 << (end & 7)) - (1 << (first & 7)))
+        return
+    row[a] &= (1 << (first & 7)) - 1
+    row[a + 1 : b] = 0
+    if end & 7:
+        row[b] &= 255 ^ ((1 << (end & 7)) - 1)
+
+
 class TokenAutomaton:
     """Deterministic automaton of a byte-level BPE vocabulary with word ends.
 
@@ -74,25 +94,33 @@ class TokenAutomaton:
             return "".join(body)
 
         ids = model["vocab"]
-        self.parts: dict[int, tuple[int, int, int]] = {}
-        self.gadgets: dict[tuple[int, int], int] = {}
         reachable = {}
         for token, i in ids.items():
-            s = symbols(token)
-            if len(s) == 1:
-                reachable[i] = s
-        for rank, merge in enumerate(model["merges"]):
+            text = symbols(token)
+            if len(text) == 1:
+                reachable[i] = text
+        merges: dict[tuple[int, int], int] = {}
+        for merge in model["merges"]:
             left, right = merge.split(" ") if isinstance(merge, str) else merge
-            self._merge(ids[left], ids[right], ids[left + right], rank, reachable)
+            a, b, c = ids[left], ids[right], ids[left + right]
+            if a in reachable and b in reachable and (a, b) not in merges:
+                if c in reachable:
+                    raise ValueError(f"more than one merge makes {left + right!r}")
+                merges[a, b] = c
+                reachable[c] = reachable[a] + reachable[b]
+        while (never := self._compile([(a, b, c) for (a, b), c in merges.items()], list(reachable))) is not None:
+            # Earlier merges leave no such neighbours: this merge is never applied, and what it makes is never there.
+            gone = {merges.pop(never)}
+            for (a, b), c in list(merges.items()):
+                if a in gone or b in gone:
+                    gone.add(merges.pop((a, b)))
+            reachable = {i: text for i, text in reachable.items() if i not in gone}
         self.trie: dict = {}
-        for i, s in reachable.items():
+        for i, text in reachable.items():
             node = self.trie
-            for c in s:
+            for c in text:
                 node = node.setdefault(c, {})
             node[""] = i
-        self._left = {i: self._spine(i, 0) for i in reachable}
-        self._right = {i: self._spine(i, 1) for i in reachable}
-        self.arcs: dict[int, bool] = {}
         self.words: dict[str, tuple[int, ...]] = {}
         self._split_special = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self._split = regex.compile(PRE_SPLIT)
@@ -100,45 +128,60 @@ class TokenAutomaton:
         self._spec, self._splitter = spec, None
         self._from_byte = {ord(c): chr(b) for c, b in back.items()}
 
-    def _merge(self, a: int, b: int, c: int, rank: int, reachable: dict[int, str]) -> None:
-        """Add the gadget of one merge; the parts of ``c`` are set when it first becomes an arc."""
-        if a not in reachable or b not in reachable or (a, b) in self.gadgets:
-            return
-        self.gadgets[a, b] = rank
-        if c not in reachable:
-            reachable[c] = reachable[a] + reachable[b]
-            self.parts[c] = (a, b, rank)
-
-    def _spine(self, token: int, side: int) -> tuple[tuple[int, int], ...]:
-        """The token and its outermost parts on one side, each with the merge that built it in."""
-        out, until = [], _NEVER
-        while True:
-            out.append((token, until))
-            if token not in self.parts:
-                return tuple(out)
-            a, b, rank = self.parts[token]
-            token, until = (b if side else a), rank
+    def _compile(self, merges: list[tuple[int, int, int]], labels: list[int]) -> tuple[int, int] | None:
+        """The tables of the automaton, one gadget after the other; or the first merge that is never applied.
+
+        ``place`` numbers the labels, ``target`` has the row of the state that a
+        label leads to, and bit ``place`` of row ``target`` of ``table`` says
+        whether that state has an arc of the label.
+        """
+        made = {c: rank for rank, (_, _, c) in enumerate(merges)}
+        starting: dict[int, list[int]] = {}  # label to those made from it as their first part, in order
+        for a, _, c in merges:
+            starting.setdefault(a, []).append(c)
+        place: dict[int, int] = {}
+        end: dict[int, int] = {}
+        todo = [(i, False) for i in labels if i not in made]
+        while todo:
+            i, done = todo.pop()
+            if done:
+                end[i] = len(place)
+                continue
+            place[i] = len(place)
+            todo.append((i, True))
+            todo += [(c, False) for c in reversed(starting.get(i, ()))]
+        width = (len(place) + 7) // 8
+        table = np.empty((max(1, len(labels)), width), np.uint8)  # memory is taken row by row, as rows are written
+        table[0] = 255
+        target = {i: 0 for i in labels if i not in made}
+        arrivals = [len(target)] + [0] * (len(table) - 1)
+        used = 1
+        for rank, (a, b, c) in enumerate(merges):
+            state, first = target[a], place[b]
+            if not table[state, first >> 3] >> (first & 7) & 1:
+                return a, b
+            target[c] = target[b]
+            arrivals[target[b]] += 1
+            copy = state
+            if arrivals[state] > 1:  # else nothing but the arcs that move to the copy leads to the state, which becomes the copy
+                copy, used = used, used + 1
+                table[copy] = table[state]
+                arrivals[state] -= 1
+                arrivals[copy] = 1
+                target[a] = copy
+            row = table[copy]
+            row[first >> 3] &= 255 ^ (1 << (first & 7))
+            # What b starts from this merge on; a label made by an earlier merge has its arcs already.
+            later = next((place[x] for x in starting.get(b, ()) if made[x] >= rank), end[b])
+            _clear(row, later, end[b])
+        self.place, self.target, self.width, self.n_states = place, target, width, used
+        self.table = table[:used].tobytes()
+        return None
 
     def arc(self, last: int, token: int) -> bool:
         """Whether the state after ``last`` has an arc labelled ``token``."""
-        key = last << 20 | token
-        known = self.arcs.get(key)
-        if known is None:
-            gadgets, known = self.gadgets, True
-            for y, y_until in self._right[last]:
-                for x, x_until in self._left[token]:
-                    rank = gadgets.get((y, x), _NEVER)
-                    # A state copied before this gadget still has the arc, and an arc that was
-                    # added before the gadget stays; of equal parts the gadget is seen first.
-                    if rank < y_until and rank <= x_until and rank != _NEVER:
-                        known = False
-                        break
-                if not known:
-                    break
-            if len(self.arcs) >= TABLE_ENTRIES:
-                self.arcs.clear()
-            self.arcs[key] = known
-        return known
+        bit = self.place[token]
+        return bool(self.table[self.target[last] * self.width + (bit >> 3)] >> (bit & 7) & 1)
 
     def encode_symbols(self, s: str) -> tuple[int, ...]:
         """The accepting path over ``s``, longest arcs tried first.
@@ -221,10 +264,11 @@ class TokenAutomaton:
                 for t in self._rare_words(piece):
                     ids += t
                 continue
-            words, encode_word = self.words, self.encode_word
-            for w in self._split.findall(self.normalize(piece)):
-                t = words.get(w)
-                ids += encode_word(w) if t is None else t
+            found = self._split.findall(self.normalize(piece))
+            known = list(map(self.words.get, found))
+            if None in known:
+                known = [self.encode_word(w) if t is None else t for w, t in zip(found, known, strict=True)]
+            ids += chain.from_iterable(known)
         return ids
 
     def decode(self, ids: Iterable[int]) -> str:
@@ -233,14 +277,38 @@ class TokenAutomaton:
         return " ".join([labels[i] for i in ids if i in labels])
 
 
+#: What a vocabulary file has to say of itself.
+NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+PRE_TOKENIZER = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
+
+
+def unsupported(spec: dict) -> list[str]:
+    """What a vocabulary file asks for that this module does not do."""
+    model = spec.get("model", {})
+    found = [name for name, want in (("normalizer", NORMALIZER), ("pre_tokenizer", PRE_TOKENIZER), ("decoder", None), ("post_processor", None)) if spec.get(name) != want]
+    found += [f"model.{k}" for k in ("dropout", "unk_token", "continuing_subword_prefix", "fuse_unk", "byte_fallback", "ignore_merges") if model.get(k)]
+    if model.get("type", "BPE") != "BPE":
+        found.append("model.type")
+    return found + [f"added token {t['content']}" for t in spec.get("added_tokens", []) if any(t.get(k) for k in ("single_word", "lstrip", "rstrip", "normalized"))]
+
+
 _LOADED: dict[str, TokenAutomaton] = {}
 
 
 def automaton(path: str) -> TokenAutomaton:
-    """The automaton of a vocabulary file, built once in each Python worker."""
+    """The automaton of a vocabulary file, compiled once in each Python worker; raises if the file asks for what is not supported."""
     if path not in _LOADED:
         with open(path, encoding="utf-8") as f:
-            _LOADED[path] = TokenAutomaton(json.load(f))
+            spec = json.load(f)
+        if other := unsupported(spec):
+            raise ValueError(f"{path}: not supported: {', '.join(other)}")
+        _LOADED[path] = TokenAutomaton(spec)
     return _LOADED[path]
 
 

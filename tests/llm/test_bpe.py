@@ -53,6 +53,59 @@ def test_merge_gadgets_of_a_small_vocabulary():
             assert [tokens[i] for i in a.encode_symbols(word)] == by_rank(word), word
 
 
+def literal_gadgets(base, merges):
+    """States as dicts of arcs, changed one merge after the other just as the construction says."""
+    states = [{x: 0 for x in base}]
+    for a, b in merges:
+        found = {arcs[a] for arcs in states if a in arcs}
+        if not found:
+            continue
+        (q,) = found
+        if b not in states[q]:
+            continue  # such neighbours are never there
+        r = states[q][b]
+        states.append({x: t for x, t in states[q].items() if x != b})
+        for arcs in states:
+            if a in arcs:
+                arcs[a], arcs[a + b] = len(states) - 1, r
+    return states
+
+
+@pytest.mark.parametrize("seed", range(60))
+def test_compiled_table_has_the_arcs_of_the_gadgets(seed):
+    r = random.Random(seed)
+    base = "abc"[: r.randint(1, 3)]
+    tokens, merges = list(base), []
+    for _ in range(r.randint(1, 14)):
+        a, b = r.choice(tokens), r.choice(tokens)
+        if (a, b) not in merges and a + b not in tokens:
+            merges.append((a, b))
+            tokens.append(a + b)
+    a = bpe.TokenAutomaton({"model": {"vocab": {t: i for i, t in enumerate(tokens)}, "merges": [" ".join(m) for m in merges]}, "added_tokens": []})
+    states = literal_gadgets(base, merges)
+    for x, last in enumerate(tokens):
+        leads = {arcs[last] for arcs in states if last in arcs}
+        if not leads:
+            assert x not in a.target  # nothing ever makes this label
+            continue
+        (state,) = leads
+        assert {tokens[y] for y in a.target if a.arc(x, y)} == set(states[state]), last
+    assert a.n_states <= len(merges) + 1
+
+
+def test_files_that_ask_for_more_are_refused(tmp_path):
+    import json
+
+    spec = json.load(open(PATH, encoding="utf-8"))
+    assert bpe.unsupported(spec) == []
+    assert bpe.unsupported(spec | {"decoder": {"type": "ByteLevel"}, "normalizer": None}) == ["normalizer", "decoder"]
+    assert bpe.unsupported(spec | {"model": spec["model"] | {"ignore_merges": True}}) == ["model.ignore_merges"]
+    other = tmp_path / "other.json"
+    other.write_text(json.dumps(spec | {"pre_tokenizer": None}))
+    with pytest.raises(ValueError, match="pre_tokenizer"):
+        bpe.automaton(str(other))
+
+
 def test_long_words_take_linear_time(reference):
     text = "ab" * 20_000
     assert bpe.automaton(PATH).encode(text) == reference.encode(text, add_special_tokens=False).ids
