@@ -2,15 +2,17 @@
 
 Windows of a candidate block are compressed with each template as a raw
 dictionary; the template that saves most bytes against compression without one
-explains the block best. Templates are ranked by that, none is left out, and one
-wins only if its wording is found in the block with few enough word differences,
-which are counted exactly.
+explains the window best. Windows and templates are ranked by that, and
+confirmed in this order: the template's wording has to be found in the window
+with few enough word differences, which are counted exactly. The search in a
+block ends as soon as exact matches explain all its cue words, so the ranking
+decides what is looked at; no template is left out before that.
 """
 
 from __future__ import annotations
 
 import re
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,33 +28,62 @@ TEMPLATES = {
     "apache-2.0-notice": "Licensed under the Apache License, Version 2.0.",
     "apache-2.0-header": 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License.',
     "mit-notice": "Released under the MIT License.",
+    "mit-full": 'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.',
     "mit-text": 'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.',
     "gpl-3.0-notice": "This work is licensed under the GNU General Public License, version 3.",
     "gpl-3.0-header": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
     "gpl-2.0-header": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
+    "lgpl-3.0-header": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "lgpl-2.1-header": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
+    "agpl-3.0-header": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "gpl-warranty": "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.",
     "lgpl-3.0-notice": "This work is licensed under the GNU Lesser General Public License, version 3.",
     "agpl-3.0-notice": "This work is licensed under the GNU Affero General Public License, version 3.",
     "mpl-2.0-header": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
     "bsd-text": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
+    "bsd-2-clause-full": 'Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.',
+    "bsd-3-clause-full": 'Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.',
+    "isc-full": 'Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.',
+    "zlib-text": "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions: 1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated but is not required. 2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software. 3. This notice may not be removed or altered from any source distribution.",
+    "unlicense-text": 'This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means. In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all copyright interest in the software to the public domain. We make this dedication for the benefit of the public at large and to the detriment of our heirs and successors. We intend this dedication to be an overt act of relinquishment in perpetuity of all present and future rights to this software under copyright law. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE. For more information, please refer to http://unlicense.org/',
     "isc-text": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
     "cc-by-nc-4.0-notice": "Licensed under CC BY-NC 4.0.",
     "cc-by-4.0-notice": "Licensed under CC BY 4.0.",
     "cc-by-sa-4.0-notice": "Licensed under CC BY-SA 4.0.",
     "cc0-1.0-notice": "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.",
 }
-CUE = r"(?i)licen[sc]e|copyright|permission (is hereby|to use)|redistribut"
+#: Words of which a notice has one; a template without any brings words of its own.
+CUE = r"licen[sc]e|copyright|permission (?:is hereby|to use)|redistribut"
 #: Word differences that a match may have, as a part of the template's words.
 TOLERANCE = 0.15
 WORD = re.compile(r"\w+")
-_CUE = re.compile(CUE)
+_CUE = re.compile(f"(?i){CUE}")
 SCHEMA = "doc_id long, license string, start int, end int, bytes_saved int, n_words int, n_different int, is_exact boolean"
 
 
-def blocks(text: str, most_words: int) -> Iterator[tuple[int, int]]:
+def words_of(template: str) -> list[str]:
+    return [w.group().lower() for w in WORD.finditer(template)]
+
+
+def cue_pattern(templates: dict[str, str]) -> str:
+    """What marks a place that may hold a notice.
+
+    Of a template without the usual cue words, one more of its words than may
+    differ are cues, the longest ones, so that any match has one of them.
+    """
+    own = set()
+    for text in templates.values():
+        if not _CUE.search(text):
+            words = words_of(text)
+            own.update(sorted(words, key=lambda w: (-len(w), w))[: int(TOLERANCE * len(words)) + 1])
+    return "(?i)" + "|".join([CUE, *[rf"\b{re.escape(w)}\b" for w in sorted(own)]])
+
+
+def blocks(text: str, most_words: int, cue: re.Pattern[str] = _CUE) -> Iterator[tuple[int, int]]:
     """(start, end) of the parts of a text that may hold a license: around each cue, as many words to either side as a template has; parts that touch are one, up to a size, beyond which the next overlaps it."""
     span = 12 * most_words
     start = end = -1
-    for m in _CUE.finditer(text):
+    for m in cue.finditer(text):
         a, b = max(0, m.start() - span), min(len(text), m.end() + span)
         if start >= 0 and a <= end and b - start <= 40 * span:
             end = b
@@ -92,81 +123,106 @@ def best_match(words: np.ndarray, template: np.ndarray) -> tuple[int, int, int]:
 
 class Scanner:
     def __init__(self, templates: dict[str, str]):
-        self.names = list(templates)
-        self.words = {n: [w.group().lower() for w in WORD.finditer(t)] for n, t in templates.items()}
+        self.words = {n: w for n, t in templates.items() if (w := words_of(t))}
         self.most = max(map(len, self.words.values()), default=0)
+        self.cue = re.compile(cue_pattern(templates))
         # The same parameters with and without a dictionary, or the difference would be theirs.
         same = zstandard.ZstdCompressionParameters.from_level(3, source_size=24 * self.most)
         self.plain = zstandard.ZstdCompressor(compression_params=same)
-        self.given = {n: zstandard.ZstdCompressor(compression_params=same, dict_data=zstandard.ZstdCompressionDict(" ".join(w).encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)) for n, w in self.words.items() if w}
-
-    def reductions(self, words: list[str]) -> list[tuple[int, str]]:
-        """(bytes saved, template), the most first; of equals the template with more words. Case, line breaks and punctuation don't count.
-
-        The bytes are those of the window where a template saves most. Windows
-        are twice as long as a template and overlap by its length, so that one
-        holds all of a notice and little else: the rest of a long block would
-        hide what a notice saves.
-        """
-        saved: dict[str, int] = {}
-        for i in range(0, max(len(words) - self.most, 1), max(self.most, 1)):
-            raw = " ".join(words[i : i + 2 * self.most]).encode("utf-8", "surrogatepass")
+        self.given = {n: zstandard.ZstdCompressor(compression_params=same, dict_data=zstandard.ZstdCompressionDict(" ".join(w).encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)) for n, w in self.words.items()}
+
+    def windows(self, n: int) -> list[tuple[int, int]]:
+        """Stretches of n words, twice as long as the longest template, each half a template on from the last: one of them holds all of a notice."""
+        step = max(1, self.most // 2)
+        return [(i, min(n, i + 2 * self.most)) for i in range(0, max(n - 2 * self.most + step, 1), step)]
+
+    def reductions(self, words: list[str]) -> list[tuple[int, str, int, int]]:
+        """(bytes saved, template, first, last + 1) of every window and template, the most first; of equals the template with more words. Case, line breaks and punctuation don't count."""
+        out = []
+        for a, b in self.windows(len(words)):
+            raw = " ".join(words[a:b]).encode("utf-8", "surrogatepass")
             size = len(self.plain.compress(raw))
-            for n, z in self.given.items():
-                less = size - len(z.compress(raw))
-                saved[n] = max(saved.get(n, less), less)
-        return sorted(((s, n) for n, s in saved.items()), key=lambda x: (-x[0], -len(self.words[x[1]]), x[1]))
+            out += [(size - len(z.compress(raw)), n, a, b) for n, z in self.given.items()]
+        return sorted(out, key=lambda x: (-x[0], -len(self.words[x[1]]), x[1], x[2]))
+
+    def confirm(self, words: np.ndarray, template: np.ndarray) -> Iterator[tuple[int, int, int]]:
+        """(differences, first, last + 1) of stretches apart from each other that are near enough to the template, the fewest differences first."""
+        allowed = int(TOLERANCE * len(template))
+        if (template == -2).sum() > allowed:
+            return
+        rest, again = words.copy(), True
+        while again:
+            again, free = False, 0
+            cost, begin = matches_by_end(rest, template)
+            different = int(cost.min())
+            if different > allowed:
+                return
+            # All that are equally good and apart at once, the leftmost first.
+            for b in np.flatnonzero(cost == different).tolist():
+                a = int(begin[b])
+                if free <= a < b:
+                    yield different, a, b
+                    rest[a:b], free, again = -1, b, True
+
+    def scan_block(self, block: str) -> list[tuple[int, int, str, int, int, int]]:
+        """(bytes saved, differences, template, words, start, end) of what is confirmed in a block, overlapping hits too."""
+        spans = [(m.start(), m.end(), m.group().lower()) for m in WORD.finditer(block)]
+        starts, ends = [s[0] for s in spans], [s[1] for s in spans]
+        codes: dict[str, int] = {}
+        words = np.array([codes.setdefault(w, len(codes)) for _, _, w in spans], np.int64)
+        coded = {n: np.array([codes.get(w, -2) for w in t], np.int64) for n, t in self.words.items()}
+        # Word numbers of the cues that no exact match explains yet.
+        cues = {max(0, bisect_right(starts, m.start()) - 1) for m in self.cue.finditer(block)}
+        hits, seen = [], set()
+        for saved, name, a, b in self.reductions([w for _, _, w in spans]):
+            if not cues:
+                break
+            # A window all of whose cues are explained, and that has cues, has nothing more to show.
+            if not any(a <= c < b for c in cues):
+                continue
+            template = coded[name]
+            inside = np.where(np.isin(template, words[a:b]), template, -2)
+            for different, first, last in self.confirm(words[a:b], inside):
+                first, last = a + first, a + last
+                if (name, first, last) in seen:
+                    continue
+                seen.add((name, first, last))
+                hits.append((saved, different, name, len(template), starts[first], ends[last - 1]))
+                if different == 0:
+                    cues -= {c for c in cues if first <= c < last}
+        return hits
 
     def scan(self, text: str) -> list[tuple[str, int, int, int, int, int]]:
         """(license, start, end, bytes saved, words, differences) of every confirmed notice, by place."""
-        hits = []
-        for start, end in blocks(text, self.most):
-            block = text[start:end]
-            spans = [(m.start(), m.end(), m.group().lower()) for m in WORD.finditer(block)]
-            codes: dict[str, int] = {}
-            words = np.array([codes.setdefault(w, len(codes)) for _, _, w in spans], np.int64)
-            for saved, name in self.reductions([w for _, _, w in spans]):
-                template = np.array([codes.get(w, -2) for w in self.words[name]], np.int64)
-                allowed = int(TOLERANCE * len(template))
-                # Bytes saved only rank: the wording alone decides.
-                if (template == -2).sum() > allowed:
-                    continue
-                rest, again = words.copy(), True
-                while again:
-                    again, free = False, 0
-                    cost, begin = matches_by_end(rest, template)
-                    different = int(cost.min())
-                    if different > allowed:
-                        break
-                    # All that are equally good and apart at once, the leftmost first.
-                    for b in np.flatnonzero(cost == different).tolist():
-                        a = int(begin[b])
-                        if free <= a < b:
-                            hits.append((different / len(template), -len(template), -saved, start + spans[a][0], start + spans[b - 1][1], name, different))
-                            rest[a:b], free, again = -1, b, True
-        # Of notices that overlap, the one with the fewest differences, then the longer one; also of those that two parts saw, whole or in part.
+        hits = [(2 * different - size, different, -saved, start + a, start + b, name, size, different) for start, end in blocks(text, self.most, self.cue) for saved, different, name, size, a, b in self.scan_block(text[start:end])]
+        # Of notices that overlap, the one with most words that agree, less those that don't; then the one with fewest
+        # differences, then the one that saves most; also of those that two windows or parts saw, whole or in part.
         found: list[tuple[str, int, int, int, int, int]] = []
         firsts: list[int] = []
         lasts: list[int] = []
-        for _, size, saved, a, b, name, different in sorted(hits):
+        for _, _, saved, a, b, name, size, different in sorted(hits):
             k = bisect_left(firsts, b)
             if k == 0 or lasts[k - 1] <= a:
                 firsts.insert(k, a)
                 lasts.insert(k, b)
-                found.append((name, a, b, -saved, -size, different))
+                found.append((name, a, b, -saved, size, different))
         return sorted(found, key=lambda x: (x[1], x[2], x[0]))
 
 
 def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None) -> DataFrame:
     """One row per license notice in a whole text: doc_id, license, start, end (code points), bytes_saved, n_words, n_different, is_exact.
 
-    Null and empty texts, and those without a cue word, have none. Repeated rows
-    give their notices each. Other columns are not read. ``bytes_saved`` may be
+    Null and empty texts, and those without a cue word, have none, as does an
+    empty table; very long texts are read whole, in parts that overlap. Repeated
+    rows give their notices each. Other columns, whatever their names, are not
+    read. Of notices that overlap, the one with most words that agree, less
+    those that don't, stays; of equals the one with fewest differences, then the
+    one that saves most bytes, then the first. ``bytes_saved`` may be
     zero or less for a short notice: it ranks, the wording decides.
     """
     ship(docs.sparkSession)
     templates = TEMPLATES if templates is None else templates
-    may = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(F.col("text").rlike(CUE))
+    may = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(F.col("text").rlike(cue_pattern(templates)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner = Scanner(templates)

@@ -101,3 +101,75 @@ def test_operator(spark):
     assert all(text[r[0]][r[2] : r[3]].split()[0] in ("Licensed", "Permission") for r in got)
     assert all(r[4] > 0 for r in got)
     assert L.scan_licenses(documents(spark, [])).collect() == []
+
+
+def test_the_ranking_decides(monkeypatch):
+    scanner = L.Scanner(L.TEMPLATES)
+    text = "v " * 50 + L.TEMPLATES["isc-full"] + " w" * 50
+    assert notices(scanner.scan(text)) == [("isc-full", 0)]
+    ranked = L.Scanner.reductions
+    assert ranked(scanner, L.words_of(text))[0][1] == "isc-full"
+    monkeypatch.setattr(L.Scanner, "reductions", lambda self, words: sorted(ranked(self, words), key=lambda x: x[1] != "isc-text"))
+    assert notices(scanner.scan(text)) == [("isc-text", 0)]
+
+
+def test_templates_without_cue_words_bring_their_own():
+    own = {"own-notice": "Anyone may freely reuse these materials provided attribution remains intact", "mit-notice": L.TEMPLATES["mit-notice"]}
+    scanner = L.Scanner(own)
+    assert notices(scanner.scan("x " * 40 + own["own-notice"] + " y" * 40)) == [("own-notice", 0)]
+    assert notices(scanner.scan("x " * 40 + own["own-notice"].replace("attribution", "naming") + " y" * 40)) == [("own-notice", 1)]
+    assert scanner.scan("x " * 40 + "anyone remains here") == []
+
+
+def brute_scan(text, templates):
+    """Every stretch of every length around a cue word against every template."""
+    spans = [(m.start(), m.end(), m.group().lower()) for m in L.WORD.finditer(text)]
+    words = [w for _, _, w in spans]
+    hits = []
+    for name, template in templates.items():
+        t = L.words_of(template)
+        allowed = int(L.TOLERANCE * len(t))
+        for i in range(len(words)):
+            for j in range(i + 1, min(len(words), i + len(t) + allowed) + 1):
+                if abs(j - i - len(t)) <= allowed:
+                    row = list(range(j - i + 1))
+                    for a, x in enumerate(t, 1):
+                        row, old = [a], row
+                        for b, y in enumerate(words[i:j], 1):
+                            row.append(min(old[b] + 1, row[-1] + 1, old[b - 1] + (x != y)))
+                    if row[-1] <= allowed:
+                        hits.append((2 * row[-1] - len(t), row[-1], i, j, name, row[-1]))
+    found = []
+    for _, _, i, j, name, different in sorted(hits):
+        if all(j <= a or b <= i for a, b, _, _ in found):
+            found.append((i, j, name, different))
+    return [(name, spans[i][0], spans[j - 1][1], different) for i, j, name, different in sorted(found)]
+
+
+def test_operator_against_brute_force(spark):
+    templates = {
+        "a-header": "This program is licensed to you under the terms of the Alpha Agreement as published by Alpha",
+        "b-header": "Use of this file is subject to the Beta License version two and to nothing else whatsoever here",
+        "c-notice": "Copyright waived under Gamma rules",
+    }
+    r = random.Random(4)
+    rows = []
+    for i in range(60):
+        text = prose(r, r.randint(0, 30))
+        for _ in range(r.randint(0, 4)):
+            words = r.choice(list(templates.values())).split()
+            for _ in range(r.choice([0, 0, 1, 2, 3])):
+                k = r.randrange(len(words))
+                words[k : k + 1] = r.choice([["odd"], [], [words[k], "more"]])
+            text += " " + " ".join(words) + " " + prose(r, r.randint(1, 30))
+        rows.append((i, text))
+    got = {}
+    for x in L.scan_licenses(documents(spark, rows), templates).collect():
+        got.setdefault(x["doc_id"], []).append((x["license"], x["start"], x["end"], x["n_different"]))
+    cue = L.re.compile(L.cue_pattern(templates))
+    for i, text in rows:
+        want = [h for h in brute_scan(text, templates) if cue.search(text[h[1] : h[2]])]
+        found = sorted(got.get(i, []), key=lambda h: h[1])
+        # The same notices with the same numbers of differences; of stretches that are equally near, either end may be taken.
+        assert [(n, d) for n, _, _, d in found] == [(n, d) for n, _, _, d in want], text
+        assert all(a < y and x < b for (_, a, b, _), (_, x, y, _) in zip(found, want, strict=True))
