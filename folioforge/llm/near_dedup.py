@@ -8,11 +8,13 @@
    goes if its posterior probability of reaching the threshold, given the
    matches so far, is below the chosen miss probability. Survivors are
    verified on their full sets; links give components.
-4. Buckets that still hold several components are compared without exception,
-   in blocks of bounded size: every pair of different components passes the
-   same pruning and verification, and links that would join what is joined
-   already are not looked for. Members of one component are never paired, so
-   a large group of copies costs as many rows as it has members.
+4. Members of buckets that still hold several components are compared through
+   the rarest shingles of their full sets: two sets that reach the threshold
+   have one in common among the few that either could do without. So texts that
+   share a passage but not enough of it, however many there are, don't meet. Pairs
+   of different components that do meet pass the same pruning and verification;
+   members of one component are never paired, so a large group of copies costs
+   as many rows as it has members.
 """
 
 from __future__ import annotations
@@ -28,16 +30,23 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from folioforge.llm.common import materialize, ship
 from folioforge.llm.graph import components
 
 LANES = 128
 BATCH = 32
-#: Bits of the membership map that tells which documents' sets are wanted: its size, and what is broadcast, is fixed (1 MB).
-MAP_BITS = 1 << 23
-#: Members of a block, on average, in the exhaustive comparison.
+#: Bits of the membership map that tells which documents' sets are wanted, for each of them, and in all, at most (16 MB are broadcast).
+MAP_BITS_EACH = 16
+MAP_BITS = 1 << 27
+#: Members of a block, on average, where many share a rare shingle; and rows of such blocks that a task holds at a time.
 BLOCK = 128
+GROUP_ROWS = 4096
+#: Bytes of sets that a task holds at a time, on average, when it verifies pairs.
+SET_BYTES = 8 << 20
+#: Pairs whose lanes are compared at a time.
+PAIRS = 1 << 16
 #: Shingles that are hashed at a time.
 CHUNK = 512
 SEED = 20_240_601
@@ -189,35 +198,51 @@ def prune(pairs: DataFrame, near: Near) -> DataFrame:
     return pairs.select("a", "b", "lanes_a", "lanes_b").mapInArrow(run, "a long, b long")
 
 
-def verify(pairs: DataFrame, near: Near) -> DataFrame:
-    """(a, b, set_a, set_b) to the (a, b) whose full sets are similar."""
+def verify(pairs: DataFrame, sets: DataFrame, near: Near) -> DataFrame:
+    """(a, b) to those whose full sets are similar.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = [linked(np.frombuffer(x.as_py(), "<u8"), np.frombuffer(y.as_py(), "<u8"), near.percent) for x, y in zip(batch.column(2), batch.column(3), strict=True)]
-            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+    Pairs are grouped by ``a``, whose set goes once to each group and not to
+    each pair; the partners of an ``a`` are dealt to as many groups as the bytes
+    of their sets need.
+    """
+    sizes = sets.select("id", F.octet_length("set").cast("long").alias("bytes"))
+    heavy = pairs.join(sizes.select(F.col("id").alias("b"), "bytes"), "b").groupBy("a").agg(F.sum("bytes").alias("bytes"))
+    # Written before it is joined: only then can Spark split the pairs of a hot member.
+    heavy = materialize(heavy.select("a", "bytes", F.ceil(F.col("bytes") / SET_BYTES).cast("int").alias("salts")), "heavy")
+    groups = max(1, -(-int(heavy.agg(F.sum("bytes")).first()[0] or 0) // SET_BYTES))
+    group = F.pmod(F.xxhash64("a", "salt"), F.lit(groups)).alias("group")
+    partners = pairs.join(heavy.select("a", "salts"), "a").withColumn("salt", F.pmod(F.xxhash64("b"), "salts").cast("int")).select(group, "a", F.col("b").alias("id")).join(sets, "id").select("group", "a", F.col("id").alias("b"), F.col("set").alias("b_set"))
+    own = heavy.select("a", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt")).select(group, F.col("a").alias("id")).join(sets, "id").select("group", F.col("id").alias("a"), F.col("set").alias("a_set"))
 
-    return pairs.select("a", "b", "set_a", "set_b").mapInArrow(run, "a long, b long")
+    def run(one: pa.Table, many: pa.Table) -> pa.Table:
+        held = {i: np.frombuffer(x.as_py(), "<u8") for i, x in zip(one["a"].to_pylist(), one["a_set"], strict=True)}
+        a = many["a"].to_pylist()
+        keep = [linked(held[i], np.frombuffer(x.as_py(), "<u8"), near.percent) for i, x in zip(a, many["b_set"], strict=True)]
+        return pa.table({"a": pa.array(a, pa.int64()), "b": many["b"]}).filter(pa.array(keep, pa.bool_()))
+
+    return own.groupBy("group").cogroup(partners.groupBy("group")).applyInArrow(run, "a long, b long")
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, near: Near) -> DataFrame:
     """(id, set) of the wanted (id, digest), from the whole texts.
 
-    A bit map of fixed size, made of the wanted ids, spares the shuffle most
-    texts that nobody wants; the join that follows removes the rest.
+    A bit map made of the wanted ids spares the shuffle most texts that nobody
+    wants; the join that follows removes the rest. It grows with their number up
+    to a size, beyond which it spares less.
     """
-    slot = F.pmod(F.xxhash64(F.col("id")), F.lit(MAP_BITS))
-    words = wanted.select(slot.alias("slot")).groupBy((F.col("slot") / 64).cast("int").alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(slot % 64 as int))")).alias("bits"))
-    bitmap = np.zeros(MAP_BITS // 64, np.int64)
-    for row in words.toLocalIterator():
-        bitmap[row["word"]] = row["bits"]
+    n = wanted.count()
+    bits = max(64, min(MAP_BITS, 1 << (MAP_BITS_EACH * n).bit_length()))
+    slot = F.pmod(F.xxhash64(F.col("id")), F.lit(bits))
+    words = wanted.select(slot.alias("slot")).groupBy((F.col("slot") / 64).cast("int").alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(slot % 64 as int))")).alias("bits")).toArrow()
+    bitmap = np.zeros(bits // 64, np.int64)
+    bitmap[words["word"].to_numpy()] = words["bits"].to_numpy()
     held = docs.sparkSession.sparkContext.broadcast(bitmap)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = held.value
+        mask = held.value
         for batch in batches:
             slots = batch.column(2).to_numpy()
-            hit = np.flatnonzero((bits[slots >> 6] >> (slots & 63)) & 1)
+            hit = np.flatnonzero((mask[slots >> 6] >> (slots & 63)) & 1)
             for start in range(0, len(hit), 256):
                 part = batch.take(pa.array(hit[start : start + 256]))
                 sets = [shingle_set(t.as_py(), near.words).astype("<u8").tobytes() for t in part.column(1)]
@@ -227,60 +252,123 @@ def full_sets(docs: DataFrame, wanted: DataFrame, near: Near) -> DataFrame:
     return found.join(wanted, ["id", "digest"]).groupBy("id").agg(F.first("set").alias("set"))
 
 
-def compare_blocks(members: DataFrame, lanes: DataFrame, sets: DataFrame, near: Near) -> DataFrame:
-    """Links (component a, component b) between members (cluster, id, comp) of one cluster.
+def rare_shingles(members: DataFrame, sets: DataFrame, near: Near) -> DataFrame:
+    """(id, comp, n, shingle): the rarest shingles of each member (id, comp) that another one has too.
+
+    Of n shingles a similar set shares ``percent`` of 100 at least, so of the
+    others and one more, in whatever order all sets agree on, it has one. The
+    order is by the number of members that have a shingle: those that are
+    alone in having theirs come first and meet no one.
+    """
 
-    The largest component of a cluster has blocks of its own, the other members
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, comp, packed in zip(batch.column(0), batch.column(1), batch.column(2), strict=True):
+                values = np.frombuffer(packed.as_py(), "<u8").view(np.int64)
+                for start in range(0, len(values), 1 << 16):
+                    part = values[start : start + (1 << 16)]
+                    m = len(part)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(m, i.as_py(), np.int64)), pa.array(np.full(m, comp.as_py(), np.int64)), pa.array(np.full(m, len(values), np.int64)), pa.array(part)], names=["id", "comp", "n", "shingle"])
+
+    flat = materialize(members.join(sets, "id").select("id", "comp", "set").mapInArrow(run, "id long, comp long, n long, shingle long"), "shingles")
+    # Counts are written before they are joined: only then can Spark split the rows of a common shingle.
+    counts = materialize(flat.groupBy("shingle").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "frequencies")
+    mine = Window.partitionBy("id")
+    ranked = flat.join(counts, "shingle").withColumns({"place": F.row_number().over(mine.orderBy("df", "shingle")), "met": F.count(F.lit(1)).over(mine)})
+    spare = F.expr(f"n - cast(ceil({near.percent} * n / 100) as long) + 1")
+    return ranked.where(F.col("n") - F.col("met") + F.col("place") <= spare).select("id", "comp", "n", "shingle")
+
+
+def meetings(rare: DataFrame, lanes: DataFrame, near: Near) -> DataFrame:
+    """(a, b, comp_a, comp_b, matches) of pairs of different components that share a rare shingle and survive sequential comparison.
+
+    The largest component of a shingle has blocks of its own, the other members
     share blocks; blocks are dealt by a hash of the id. Pairs of blocks that
-    only hold the largest component are left out. Each task sees two blocks.
-    Lanes and sets are brought in by id, which is even whatever the clusters.
+    only hold the largest component are left out. A task holds a bounded number
+    of rows, of many pairs of blocks.
     """
     least = near.least_matches()
-    sizes = members.groupBy("cluster", "comp").agg(F.count(F.lit(1)).alias("n"))
-    stats = sizes.groupBy("cluster").agg(F.max_by("comp", F.struct("n", "comp")).alias("main"), F.max("n").alias("n_main"), F.sum("n").alias("n_all"))
-    stats = stats.select("cluster", "main", F.ceil(F.col("n_main") / BLOCK).cast("int").alias("k_main"), F.ceil((F.col("n_all") - F.col("n_main")) / BLOCK).cast("int").alias("k_pool"))
-    # Written before they are joined, so that the members of a hot cluster can be split.
-    dealt = members.join(materialize(stats, "clusters"), "cluster").where("k_pool > 0")
+    sizes = rare.groupBy("shingle", "comp").agg(F.count(F.lit(1)).alias("m"))
+    stats = sizes.groupBy("shingle").agg(F.max_by("comp", F.struct("m", "comp")).alias("main"), F.max("m").alias("m_main"), F.sum("m").alias("m_all"))
+    stats = stats.where("m_all > m_main").select("shingle", "main", F.ceil(F.col("m_main") / BLOCK).cast("int").alias("k_main"), F.ceil((F.col("m_all") - F.col("m_main")) / BLOCK).cast("int").alias("k_pool"))
+    # Written before they are joined, so that the members of a hot shingle can be split.
+    dealt = rare.join(materialize(stats, "met"), "shingle")
     is_main = F.col("comp") == F.col("main")
     block = F.when(is_main, F.pmod(F.xxhash64("id"), F.col("k_main"))).otherwise(F.col("k_main") + F.pmod(F.xxhash64("id"), F.col("k_pool"))).cast("int")
     first = F.when(is_main, F.col("k_main")).otherwise(F.lit(0))
-    dealt = materialize(dealt.select("cluster", "id", "comp", block.alias("block"), first.alias("first"), (F.col("k_main") + F.col("k_pool") - 1).alias("last")), "dealt")
-    dealt = dealt.join(lanes, "id").join(sets, "id").withColumn("other", F.explode(F.sequence("first", "last")))
-    dealt = dealt.select("cluster", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "id", "comp", "lanes", "set")
+    dealt = dealt.select("shingle", "id", "comp", "n", block.alias("block"), F.explode(F.sequence(first, F.col("k_main") + F.col("k_pool") - 1)).alias("other"))
+    dealt = materialize(dealt.select("shingle", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "id", "comp", "n"), "dealt")
+    groups = max(1, -(-dealt.count() // GROUP_ROWS))
+    keyed = dealt.join(lanes, "id").withColumn("group", F.pmod(F.xxhash64("shingle", "i", "j"), F.lit(groups)))
 
     def run(group: pa.Table) -> pa.Table:
-        group = group.combine_chunks()
-        i, j = group["i"][0].as_py(), group["j"][0].as_py()
-        block = group["block"].to_numpy()
-        left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
-        lanes = _lanes(group["lanes"])
-        comp = group["comp"].to_numpy()
-        sets = [np.frombuffer(s.as_py(), "<u8") for s in group["set"]]
-        root: dict[int, int] = {}
-
-        def top(x: int) -> int:
-            while root.get(x, x) != x:
-                x = root[x]
-            return x
-
-        out: list[tuple[int, int]] = []
-        # A few rows of the left block at a time against the whole right one.
-        for start in range(0, len(left), 64):
-            part = left[start : start + 64]
-            x, y = np.repeat(part, len(right)), np.tile(right, len(part))
-            keep = comp[x] != comp[y]
-            if i == j:
-                keep &= x < y
-            x, y = x[keep], y[keep]
-            alive, matches = survivors(lanes[x], lanes[y], least)
-            for k in alive[np.argsort(-matches, kind="stable")]:
-                p, q = top(int(comp[x[k]])), top(int(comp[y[k]]))
-                if p != q and linked(sets[x[k]], sets[y[k]], near.percent):
-                    root[max(p, q)] = min(p, q)
-                    out.append((int(comp[x[k]]), int(comp[y[k]])))
-        return pa.table({"a": pa.array([p for p, _ in out], pa.int64()), "b": pa.array([q for _, q in out], pa.int64())})
-
-    return dealt.groupBy("cluster", "i", "j").applyInArrow(run, "a long, b long")
+        key = np.stack([group[c].to_numpy().astype(np.int64) for c in ("shingle", "i", "j")])
+        order = np.lexsort(key[::-1])
+        key = key[:, order]
+        block, ids, comp, n = (group[c].to_numpy()[order].astype(np.int64) for c in ("block", "id", "comp", "n"))
+        lane = _lanes(group["lanes"])[order]
+        edges = np.flatnonzero(np.concatenate([[True], (key[:, 1:] != key[:, :-1]).any(axis=0), [True]]))
+        out: list[tuple[np.ndarray, ...]] = []
+        held: list[np.ndarray] = []
+
+        def compare() -> None:
+            if held:
+                x, y = np.concatenate(held, axis=1)
+                held.clear()
+                keep = (comp[x] != comp[y]) & (100 * np.minimum(n[x], n[y]) >= near.percent * np.maximum(n[x], n[y]))
+                x, y = x[keep], y[keep]
+                x, y = np.where(ids[x] < ids[y], x, y), np.where(ids[x] < ids[y], y, x)
+                # Pairs that meet at several shingles of this group are compared once.
+                _, one = np.unique(np.stack([ids[x], ids[y]]), axis=1, return_index=True)
+                x, y = x[one], y[one]
+                alive, matches = survivors(lane[x], lane[y], least)
+                out.append((ids[x[alive]], ids[y[alive]], comp[x[alive]], comp[y[alive]], matches))
+
+        waiting = 0
+        for a, b in zip(edges[:-1], edges[1:], strict=True):
+            i, j = key[1, a], key[2, a]
+            left = a + np.flatnonzero(block[a:b] == i)
+            right = left if i == j else a + np.flatnonzero(block[a:b] == j)
+            for start in range(0, len(left), 512):
+                part = left[start : start + 512]
+                x, y = np.repeat(part, len(right)), np.tile(right, len(part))
+                if i == j:
+                    x, y = x[x < y], y[x < y]
+                held.append(np.stack([x, y]))
+                waiting += len(x)
+                if waiting >= PAIRS:
+                    compare()
+                    waiting = 0
+        compare()
+        columns = [np.concatenate(c) for c in zip(*out, strict=True)] or [np.empty(0, np.int64)] * 5
+        return pa.table({c: pa.array(v.astype(np.int64)) for c, v in zip(("a", "b", "comp_a", "comp_b", "matches"), columns, strict=True)})
+
+    return keyed.groupBy("group").applyInArrow(run, "a long, b long, comp_a long, comp_b long, matches long")
+
+
+def late_links(members: DataFrame, lanes: DataFrame, sets: DataFrame, near: Near) -> DataFrame:
+    """(a, b): components of members (id, comp) that links between members join.
+
+    Of all pairs of members between two components the one with most matches is
+    verified first; the others only if that has not joined their components.
+    """
+    met = materialize(meetings(materialize(rare_shingles(members, sets, near), "rare"), lanes, near), "met").dropDuplicates(["a", "b"])
+    named = met.withColumns({"low": F.least("comp_a", "comp_b"), "high": F.greatest("comp_a", "comp_b")})
+    best = named.groupBy("low", "high").agg(F.max_by(F.struct("a", "b"), F.struct("matches", "a", "b")).alias("pair"))
+    tried = materialize(best.select("low", "high", "pair.a", "pair.b"), "tried")
+    yes = verify(tried.select("a", "b"), sets, near)
+    joined = materialize(tried.join(yes, ["a", "b"]).select(F.col("low").alias("a"), F.col("high").alias("b")), "joined")
+    known = components(joined)
+
+    def root(c: str) -> DataFrame:
+        return known.select(F.col("node").alias(c), F.col("comp").alias(f"{c}_root"))
+
+    left = named.join(tried.select("a", "b"), ["a", "b"], "left_anti").join(root("low"), "low", "left").join(root("high"), "high", "left")
+    left = materialize(left.where(F.coalesce("low_root", "low") != F.coalesce("high_root", "high")).select("a", "b", "low", "high"), "left")
+    if left.isEmpty():
+        return joined
+    more = left.join(verify(left.select("a", "b"), sets, near), ["a", "b"]).select(F.col("low").alias("a"), F.col("high").alias("b"))
+    return joined.unionByName(more.distinct())
 
 
 def near_dedup(docs: DataFrame, near: Near | None = None) -> DataFrame:
@@ -292,7 +380,8 @@ def near_dedup(docs: DataFrame, near: Near | None = None) -> DataFrame:
     empty set, are linked with nothing and are kept. Repeated rows share a
     component; if the kept doc_id repeats, all its rows are kept. A row without
     an id takes its component from rows with the same set, else null, and is
-    kept in the latter case. Other columns are not read.
+    kept in the latter case. An empty table gives an empty one; very long texts
+    are read whole. Other columns, whatever their names, are not read.
     """
     near = near or Near()
     ship(docs.sparkSession)
@@ -318,20 +407,18 @@ def _class_components(docs: DataFrame, classes: DataFrame, near: Near) -> DataFr
 
     reach = members.groupBy("id").agg(F.sum("n").alias("reach"))
     hubs = materialize(members.join(reach, "id").groupBy("key").agg(F.max_by("id", F.struct("reach", "id")).alias("hub")), "hubs")
-    pairs = members.join(hubs, "key").where("id <> hub").select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct()
-    links = materialize(verify(_both(prune(_both(pairs, lanes, "lanes"), near), sets, "set"), near), "links")
+    pairs = members.join(hubs, "key").where("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
+    links = materialize(verify(materialize(prune(_both(pairs, lanes), near), "pairs"), sets, near), "links")
     labels = components(links)
 
     known = members.join(labels, members["id"] == labels["node"], "left").select("key", "id", "n", F.coalesce("comp", "id").alias("comp"))
     # A bucket of two has been compared as a whole.
-    mixed = known.where("n > 2").groupBy("key").agg(F.min("id").alias("first"), F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("key", "first")
+    mixed = known.where("n > 2").groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("key")
     mixed = materialize(mixed, "buckets")
-    left = materialize(known.join(mixed, "key").select("id", "comp", "first"), "mixed")
+    left = materialize(known.join(mixed, "key").select("id", "comp"), "mixed")
     if left.isEmpty():
         return labels
-    clusters = components(left.select(F.col("id").alias("a"), F.col("first").alias("b")))
-    rest = materialize(left.select("id", "comp").distinct().join(clusters.select(F.col("node").alias("id"), F.col("comp").alias("cluster")), "id"), "rest")
-    more = materialize(compare_blocks(rest, lanes, sets, near), "more")
+    more = materialize(late_links(left.select("id", "comp").distinct(), lanes, sets, near), "more")
     if more.isEmpty():
         return labels
     joined = components(more).select(F.col("node").alias("low"), F.col("comp").alias("lower"))
@@ -340,8 +427,8 @@ def _class_components(docs: DataFrame, classes: DataFrame, near: Near) -> DataFr
     return own.join(joined, own["comp"] == joined["low"], "left").select("node", F.coalesce("lower", "comp").alias("comp"))
 
 
-def _both(pairs: DataFrame, values: DataFrame, name: str) -> DataFrame:
-    """Give both members of a pair their value."""
-    one = values.select(F.col("id").alias("a"), F.col(name).alias(f"{name}_a"))
-    two = values.select(F.col("id").alias("b"), F.col(name).alias(f"{name}_b"))
+def _both(pairs: DataFrame, lanes: DataFrame) -> DataFrame:
+    """Give both members of a pair their lanes."""
+    one = lanes.select(F.col("id").alias("a"), F.col("lanes").alias("lanes_a"))
+    two = lanes.select(F.col("id").alias("b"), F.col("lanes").alias("lanes_b"))
     return pairs.join(one, "a").join(two, "b")

@@ -50,3 +50,71 @@ def test_graph(spark):
     want = {i: 1 for i in range(1, 61)} | {i: 100 for i in range(100, 140)} | {200: 200, 201: 200}
     assert got == want
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def around_a_passage(n, own, shared, seed=8):
+    """Texts that share a passage, and are not similar."""
+    import random
+
+    r = random.Random(seed)
+    passage = " ".join(f"p{i}" for i in range(shared))
+    return [(i, passage + " " + " ".join(f"o{r.randrange(10**9)}" for _ in range(own))) for i in range(n)]
+
+
+def near_families(seed=9, families=6, members=25, words=150):
+    """Families of copies whose members have much, and often enough, in common with those of other families."""
+    import random
+
+    r = random.Random(seed)
+    base, rows = [f"b{i}" for i in range(words)], []
+    for f in range(families):
+        own = list(base)
+        for k in r.sample(range(words), 3):
+            own[k] = f"f{f}x{k}"
+        for m in range(members):
+            text = list(own)
+            for k in r.sample(range(words), r.randint(0, 5)):
+                text[k] = f"m{f}x{m}x{k}"
+            rows.append((1000 * f + m, " ".join(text)))
+    return rows
+
+
+@pytest.mark.parametrize("block", [N.BLOCK, 4])
+def test_several_blocks_lose_no_link(spark, monkeypatch, block):
+    monkeypatch.setattr(N, "BLOCK", block)
+    monkeypatch.setattr(N, "GROUP_ROWS", 16 * block)
+    monkeypatch.setattr(N, "SET_BYTES", 1000 * block)
+    monkeypatch.setattr(N, "PAIRS", 50 * block)
+    near = N.Near(3, 85)
+    rows = near_families() + [(100_000 + i, t) for i, t in around_a_passage(60, 30, 100)]
+    want = near_components(rows, 3, 85)
+    assert len({c for _, c in want.values()}) > 70
+    assert run(spark, rows, near) == {i: (n, c, i == c) for i, (n, c) in want.items()}
+
+
+def test_members_are_compared_through_their_rare_shingles(spark):
+    """All pairs that reach the threshold meet, whatever their bands."""
+    near = N.Near(3, 85)
+    rows = near_families(families=4, members=12) + [(100_000 + i, t) for i, t in around_a_passage(20, 30, 100)]
+    docs = documents(spark, rows)
+    found = N.features(docs, near)
+    ids = found.select(N.F.col("doc_id").alias("id"), "digest")
+    sets = N.full_sets(docs, ids, near)
+    rare = N.rare_shingles(ids.select("id", N.F.col("id").alias("comp")), sets, near)
+    lanes = found.select(N.F.col("doc_id").alias("id"), "lanes")
+    met = {(r["a"], r["b"]) for r in N.meetings(rare, lanes, near).collect()}
+    from helpers import shingles
+
+    held = {i: shingles(t, 3) for i, t in rows}
+    similar = {(a, b) for a in held for b in held if a < b and 100 * len(held[a] & held[b]) >= 85 * len(held[a] | held[b])}
+    assert similar and similar <= met
+    assert {tuple(r) for r in N.verify(spark.createDataFrame(sorted(met), "a long, b long"), sets, near).collect()} == similar
+
+
+@pytest.mark.parametrize("n", [40, 160])
+def test_texts_around_one_passage_do_not_meet(spark, n):
+    near = N.Near(3, 85)
+    docs = documents(spark, around_a_passage(n, 30, 100))
+    ids = N.features(docs, near).select(N.F.col("doc_id").alias("id"), "digest")
+    rare = N.rare_shingles(ids.select("id", N.F.col("id").alias("comp")), N.full_sets(docs, ids, near), near)
+    assert rare.count() == 0
