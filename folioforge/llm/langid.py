@@ -23,6 +23,8 @@ from folioforge.llm.ftrl import Penalties, fit_multinomial, fit_temperature, sof
 BITS = 16
 #: Documents that the classifier is fitted on, at most, on average: an equal part for each language. A quarter calibrates.
 FIT_DOCS = 2400
+#: Languages that are learned, at most: those with most rows.
+LANGUAGES = 256
 #: Characters looked at together.
 BLOCK_CHARS = 1 << 20
 UNKNOWN = "und"
@@ -123,16 +125,15 @@ def sample_features(docs: DataFrame, fit_docs: int) -> list:
     """(lang, features, counts, calibrate) of a sample of the rows, an equal part for each language.
 
     A row is in or out by a hash of its id, with a chance that its language's number of rows sets.
+    Languages are the ``LANGUAGES`` most frequent ones at most; a model has weights for each.
     """
-    sizes = {r["lang"]: r["n"] for r in docs.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
-    if not sizes:
+    counts = docs.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()
+    if not counts:
         return []
-    share = max(1, fit_docs // len(sizes))
-    chance = F.lit(0.0)
-    for lang, n in sizes.items():
-        chance = F.when(F.col("lang") == lang, F.lit(share / n)).otherwise(chance)
+    share = max(1, fit_docs // len(counts))
+    chances = docs.sparkSession.createDataFrame([(r["lang"], share / r["n"]) for r in counts], "lang string, chance double")
     u = lambda salt: F.pmod(F.xxhash64("doc_id", F.lit(salt)), F.lit(1 << 20)) / float(1 << 20)
-    chosen = docs.where(u("fit") < chance).select("lang", "text", (u("calibrate") < 0.25).alias("calibrate"))
+    chosen = docs.select("doc_id", "text", F.col("lang").cast("string").alias("lang")).join(F.broadcast(chances), "lang").where(u("fit") < F.col("chance")).select("lang", "text", (u("calibrate") < 0.25).alias("calibrate"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -167,7 +168,7 @@ def fit(docs: DataFrame, fit_docs: int = FIT_DOCS, penalties: Penalties | None =
 def predict(docs: DataFrame, model: Model) -> DataFrame:
     """(doc_id, lang_pred, score) of every row, from its text alone."""
     ship(docs.sparkSession)
-    held = docs.sparkSession.sparkContext.broadcast(model)  # 2 ** BITS rows: its size does not grow with the data
+    held = docs.sparkSession.sparkContext.broadcast(model)  # 2 ** BITS rows of at most LANGUAGES: its size does not grow with the data
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = held.value
@@ -193,7 +194,10 @@ def identify(docs: DataFrame, fit_docs: int = FIT_DOCS) -> DataFrame:
 
     The model learns from rows that are not held out and have a lang. Text that
     is null, empty or without letters is ``und`` with score 0, as is every text
-    when there is nothing to learn from. Repeated rows get the same answer each.
+    when there is nothing to learn from. Repeated rows get the same answer each;
+    of equal probabilities the first language in the order of their names is
+    predicted. An empty table gives an empty one; very long texts are read
+    whole; other columns, whatever their names, are not read.
     """
     return predict(docs, fit(docs.where(~held_out()), fit_docs)).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 

@@ -71,3 +71,29 @@ def test_temperature_cools_overconfident_logits():
     z = np.where(np.arange(2)[None] == np.where(r.random(2000) < 0.7, y, 1 - y)[:, None], 10.0, 0.0)
     t = ftrl.fit_temperature(z, y)
     assert abs(ftrl.softmax(z / t).max(axis=1).mean() - 0.7) < 0.03
+
+
+def test_predictions_against_brute_force(spark):
+    """The model's formula, text by text and language by language."""
+    import math
+
+    rows = corpus(150)
+    docs = documents(spark, rows)
+    model = langid.fit(docs.where(~langid.held_out()))
+    got = {r["doc_id"]: r for r in langid.predict(docs, model).collect()}
+    for i, text, _, _ in rows[:40]:
+        at, counts = langid.ngram_counts(text)
+        x = {int(f): (1 + math.log(c)) * model.idf[f] for f, c in zip(at, counts, strict=True)}
+        length = math.sqrt(sum(v * v for v in x.values()))
+        z = [sum(v / length * model.weights[f, k] for f, v in x.items()) / model.temperature for k in range(len(model.languages))]
+        q = [math.exp(v - max(z)) for v in z]
+        best = max(range(len(z)), key=lambda k: z[k])
+        assert got[i]["lang_pred"] == model.languages[best]
+        assert abs(got[i]["score"] - q[best] / sum(q)) < 1e-6
+
+
+def test_a_dirty_lang_column_keeps_the_most_frequent_languages(spark, monkeypatch):
+    monkeypatch.setattr(langid, "LANGUAGES", 3)
+    rows = corpus(300) + [(1000 + i, "qq ww ee rr", f"junk{i}", "s") for i in range(60)]
+    model = langid.fit(documents(spark, rows))
+    assert model.languages == ["de", "en", "fr"]
