@@ -43,21 +43,29 @@ def text_features(text: str | None) -> np.ndarray:
 
 @dataclass
 class Chain:
-    """``words``: sorted hashes of the features with weight; ``weights``: (words, categories); ``chained[k]``: weights of the log-odds of categories before k."""
+    """``words``: sorted hashes of the features with weight; ``weights``: (words, categories); ``chained[k]``: weights of the probabilities of categories before k.
+
+    ``shift`` has the log-odds between the sample, which the models and the
+    probabilities that they hand on are about, and the labels.
+    """
 
     names: list[str]
     words: np.ndarray
     weights: np.ndarray
     chained: list[np.ndarray]
     intercepts: np.ndarray
+    shift: np.ndarray
 
     def probabilities(self, sums: np.ndarray) -> np.ndarray:
         """From the sums of word weights, (rows, categories), in the order of the chain."""
-        out = np.zeros_like(sums)
+        z = np.zeros_like(sums)
         for k in range(len(self.names)):
-            z = sums[:, k] + self.intercepts[k] + (_scaled(out[:, :k]) @ self.chained[k] if k else 0)
-            out[:, k] = 1 / (1 + np.exp(-np.clip(z, -35, 35)))
-        return out
+            z[:, k] = sums[:, k] + self.intercepts[k] + (_scaled(_logistic(z[:, :k])) @ self.chained[k] if k else 0)
+        return _logistic(z + self.shift)
+
+
+def _logistic(z: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(z, -35, 35)))
 
 
 def _scaled(p: np.ndarray) -> np.ndarray:
@@ -70,14 +78,18 @@ def fit(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], balan
 
     ``categories`` maps names to boolean columns, in the chain's order; null is
     false. Rows are sampled by a hash of their id, equally many with and without
-    category ``balance``; the intercepts undo that.
+    category ``balance``; the chain's ``shift`` undoes that for each category.
+    Rows without id are not learned from; of rows that repeat an id a category
+    holds if it does for one. Without labelled texts every probability is 0.
     """
     ship(docs.sparkSession)
     penalties = penalties or Penalties(alpha=1.0, l1=5.0, l2=0.1, epochs=8)
     names = list(categories)
     flags = labels.where("doc_id IS NOT NULL").select("doc_id", *[F.coalesce(c, F.lit(False)).alias(n) for n, c in categories.items()])
     flags = flags.groupBy("doc_id").agg(*[F.max(n).alias(n) for n in names])
-    sizes = {r[balance]: r["n"] for r in flags.groupBy(balance).agg(F.count(F.lit(1)).alias("n")).collect()}
+    # At most two to the number of categories.
+    together = flags.groupBy(*names).agg(F.count(F.lit(1)).alias("n")).collect()
+    sizes = {b: sum(r["n"] for r in together if r[balance] == b) for b in (True, False)}
     part = fit_docs / 2
     chance = F.when(F.col(balance), F.lit(part / max(1, sizes.get(True, 0)))).otherwise(F.lit(part / max(1, sizes.get(False, 0))))
     chosen = flags.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) / float(1 << 20) < chance)
@@ -91,7 +103,7 @@ def fit(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], balan
     found = sorted(rows.select(F.col("doc_id").cast("long"), "text", *names).mapInArrow(run, schema).collect(), key=lambda r: (r["doc_id"], bytes(r["words"])))
     sets = [np.frombuffer(r["words"], "<u8") for r in found]
     if not sets:
-        return Chain(names, np.empty(0, np.uint64), np.zeros((0, len(names))), [np.zeros(k) for k in range(len(names))], np.full(len(names), -35.0))
+        return Chain(names, np.empty(0, np.uint64), np.zeros((0, len(names))), [np.zeros(k) for k in range(len(names))], np.full(len(names), -35.0), np.zeros(len(names)))
     # Features of a single sampled document carry no evidence.
     vocabulary, counts = np.unique(np.concatenate(sets), return_counts=True)
     vocabulary = vocabulary[counts > 1]
@@ -126,13 +138,17 @@ def fit(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], balan
                 for i in np.flatnonzero(fold == f):
                     oof[i] = score(part_w, rows_k[i])
             earlier = np.concatenate([earlier, oof[:, None]], axis=1)
-    # The sample holds the balanced category more often than the labels do.
-    b = names.index(balance)
-    true, sampled = sizes.get(True, 0) / max(1, sum(sizes.values())), y[balance].mean()
-    if 0 < true < 1 and 0 < sampled < 1:
-        intercepts[b] += np.log(true / (1 - true)) - np.log(sampled / (1 - sampled))
     used = np.flatnonzero(np.abs(weights).sum(axis=1) > 0)
-    return Chain(names, vocabulary[used], weights[used], chained, intercepts)
+    return Chain(names, vocabulary[used], weights[used], chained, intercepts, np.array([_shift(together, n, balance, sizes, part) for n in names]))
+
+
+def _shift(together: list, name: str, balance: str, sizes: dict[bool, int], part: float) -> float:
+    """How much smaller the log-odds of a category are in the labels than in the sample, by how its rows were drawn."""
+    drawn = {b: min(1.0, part / max(1, n)) for b, n in sizes.items()}
+    rows, sampled = ({b: sum(r["n"] * weight[r[balance]] for r in together if r[name] == b) for b in (True, False)} for weight in ({True: 1.0, False: 1.0}, drawn))
+    if min(*rows.values(), *sampled.values()) <= 0:
+        return 0.0
+    return float(np.log(rows[True] / rows[False]) - np.log(sampled[True] / sampled[False]))
 
 
 def _checked_broadcast(df: DataFrame, most: int) -> DataFrame:
@@ -144,7 +160,9 @@ def score(docs: DataFrame, chain: Chain, flag: str, threshold: float = 0.65) ->
     """doc_id, p_<category> for each category, and ``flag`` as boolean, of every row's whole text.
 
     Null and empty texts have no words: they get the intercepts' probabilities
-    and are never flagged. Repeated rows get the same answer each.
+    and are never flagged. Repeated rows get the same answer each, and a
+    probability equal to the threshold flags. An empty table gives an empty one.
+    Other columns, whatever their names, are not read.
     """
     ship(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(chain)  # words of a bounded sample

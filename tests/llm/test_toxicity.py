@@ -60,3 +60,51 @@ def test_null_labels_are_false(spark):
     labels = spark.createDataFrame([(1, None, None), (2, 0, 1), (None, 1, 1)], LABELS)
     out = toxicity.toxic_report(documents(spark, [(1, "a b"), (2, "idiot b")]), labels)
     assert out.where(F.col("p_toxic").isNull()).count() == 0
+
+
+def test_the_first_category_changes_the_second(spark):
+    """Toxicity follows poor quality here, which words tell only together."""
+    r = random.Random(7)
+    poor_words = [f"p{c}{d}" for c in "abcdefgh" for d in "abcdefgh"]
+    good_words = [f"g{c}{d}" for c in "abcdefgh" for d in "abcdefgh"]
+    rows, labels = [], []
+    for i in range(600):
+        poor = r.random() < 0.5
+        rows.append((i, " ".join(r.choice(poor_words if poor else good_words) for _ in range(6))))
+        labels.append((i, int(not poor), int(poor and r.random() < 0.8)))
+    chain = toxicity.fit(documents(spark, rows), spark.createDataFrame(labels, LABELS), toxicity.categories(), "toxic")
+    assert chain.chained[1][0] > 0.1
+    sums = np.zeros((2, 3))
+    sums[0, 0], sums[1, 0] = -5, 5
+    low, high = chain.probabilities(sums)[:, 1]
+    assert high > low
+    cut = toxicity.Chain(chain.names, chain.words, chain.weights, [np.zeros(k) for k in range(3)], chain.intercepts, chain.shift)
+    assert len(set(cut.probabilities(sums)[:, 1])) == 1
+
+
+def test_predictions_against_brute_force(spark):
+    import math
+
+    rows, labels, _ = data(300)
+    docs = documents(spark, rows)
+    chain = toxicity.fit(docs, spark.createDataFrame(labels, LABELS), toxicity.categories(), "toxic")
+    place = {int(h): k for k, h in enumerate(chain.words)}
+    got = {r["doc_id"]: r for r in toxicity.score(docs, chain, "toxic").collect()}
+    for i, text in rows[:60]:
+        seen = [place[int(h)] for h in toxicity.text_features(text) if int(h) in place]
+        raw = []
+        for k, name in enumerate(chain.names):
+            z = sum(chain.weights[f, k] for f in seen) + chain.intercepts[k] + sum(w * (2 * p - 1) for w, p in zip(chain.chained[k], raw, strict=True))
+            raw.append(1 / (1 + math.exp(-z)))
+            assert abs(got[i][f"p_{name}"] - 1 / (1 + math.exp(-z - chain.shift[k]))) < 1e-9
+        assert got[i]["toxic"] == (got[i]["p_toxic"] >= 0.65)
+
+
+def test_probabilities_are_those_of_the_labels_not_of_the_sample(spark):
+    """Words say nothing here: probabilities are how often the labels hold each category."""
+    r = random.Random(3)
+    rows = [(i, " ".join(r.choice("abcdef") for _ in range(5))) for i in range(4000)]
+    labels = [(i, int(r.random() < 0.7), int(r.random() < 0.05)) for i, _ in rows]
+    out = toxicity.toxic_report(documents(spark, rows), spark.createDataFrame(labels, LABELS), fit_docs=600)
+    mean = out.agg(F.avg("p_low_quality"), F.avg("p_toxic"), F.avg("p_toxic_low_quality")).first()
+    assert abs(mean[0] - 0.3) < 0.08 and abs(mean[1] - 0.05) < 0.03 and abs(mean[2] - 0.015) < 0.015
