@@ -39,6 +39,8 @@ REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-dig
 PARTITION_BYTES = 64 << 20
 BATCH_BYTES = 8 << 20
 CHUNK = 1 << 16
+#: Slots of the map that tells which digests may be repeated: at most so many numbers are broadcast.
+SLOTS = 1 << 20
 #: Payloads of fewer bytes are never revisits.
 REVISIT_BYTES = 1000
 
@@ -322,17 +324,23 @@ def page_records(pages: DataFrame) -> DataFrame:
     Of pages with equal payloads of at least 1000 bytes the one with the
     largest page_id is the response, and the others revisit it. Null html is an
     empty payload; shorter payloads are all responses. Rows that repeat the
-    winning page_id are all responses; a null page_id revisits any other.
+    winning page_id are all responses; a null page_id revisits any other. Very
+    long payloads pass through whole; an empty table gives no records. Other
+    columns, whatever their names, are not read.
     """
     html = F.encode(F.coalesce("html", F.lit("")), "UTF-8")
     rows = pages.select("page_id", "url", html.alias("payload"))
     rows = rows.withColumns({"digest": F.sha1("payload"), "n": F.octet_length("payload").cast("long")})
-    winners = rows.where(F.col("n") >= REVISIT_BYTES).groupBy(F.col("digest").alias("same")).agg(F.max("page_id").alias("winner"))
+    long = rows.where(F.col("n") >= REVISIT_BYTES)
     # Written before it is joined: only then can Spark split the pages of a hot payload.
-    winners = materialize(winners, "winners")
-    # Short payloads may be very common: a key of their own spreads them.
-    rows = rows.withColumn("key", F.when(F.col("n") >= REVISIT_BYTES, F.col("digest")).otherwise(F.concat(F.lit("-"), F.sha1(F.concat_ws(":", F.lit("page"), "page_id")))))
-    joined = rows.join(winners, rows["key"] == winners["same"], "left")
+    winners = materialize(long.groupBy(F.col("digest").alias("same")).agg(F.max("page_id").alias("winner"), F.count(F.lit(1)).alias("c")).where("c > 1").drop("c"), "winners")
+    # Pages whose payload nobody shares stay where they are; only the others are brought together.
+    slot = lambda c: F.pmod(F.xxhash64(c), F.lit(SLOTS))
+    taken = F.broadcast(winners.select(slot("same").alias("slot")).distinct())
+    placed = rows.withColumn("slot", F.when(F.col("n") >= REVISIT_BYTES, slot("digest")))
+    alone = placed.join(taken, "slot", "left_anti").select("page_id", "url", "payload", "digest", "n", F.lit(None).cast("string").alias("same"), F.lit(None).cast(rows.schema["page_id"].dataType).alias("winner"))
+    shared = placed.join(taken, "slot", "left_semi").join(winners, F.col("digest") == F.col("same"), "left").select(*alone.columns)
+    joined = alone.union(shared)
     revisit = F.col("same").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("winner"))
     urn = lambda c: F.concat(F.lit("<urn:page:"), F.coalesce(F.col(c).cast("string"), F.lit("null")), F.lit(">"))
     return joined.select(
@@ -361,7 +369,8 @@ def round_trip(pages: DataFrame) -> DataFrame:
 
     Digest and length of a response are those of the payload read; a revisit
     has them in its headers, so that revisits are read without payloads. Both
-    reads leave the other's records to the source.
+    reads leave the other's records to the source. Nulls, ties and repeated rows
+    are as ``page_records`` says; an empty table has no rows.
     """
     spark = pages.sparkSession
     path = scratch_path(spark, "warc")
