@@ -58,16 +58,27 @@ def find(text: Column, pattern: str, may: Column, kind: str) -> Column:
     """
     none = F.array().cast("array<struct<kind:string,start:int,end:int,value:string>>")
     matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    pieces = F.split(text, pattern, -1)
+    pieces = F.slice(F.split(text, pattern, -1), 1, F.size(matches))
+    pairs = F.zip_with(pieces, matches, lambda p, m: F.struct((F.length(p) + F.length(m)).alias("n"), m.alias("match")))
 
-    def step(acc: Column, pair: Column) -> Column:
-        start = acc["at"] + F.length(pair["piece"])
-        end = start + F.length(pair["match"])
-        return F.struct(end.alias("at"), F.concat(acc["spans"], F.array(F.struct(F.lit(kind).alias("kind"), start.alias("start"), end.alias("end"), pair["match"].alias("value")))).alias("spans"))
+    def spans(found: Column) -> Column:
+        ends = running_sums(F.transform(found, lambda x: x["n"]))
+        return F.zip_with(ends, found, lambda end, x: F.struct(F.lit(kind).alias("kind"), (end - F.length(x["match"])).alias("start"), end.alias("end"), x["match"].alias("value")))
 
-    pairs = F.zip_with(F.slice(pieces, 1, F.size(matches)), matches, lambda p, m: F.struct(p.alias("piece"), m.alias("match")))
-    spans = F.aggregate(pairs, F.struct(F.lit(0).alias("at"), none.alias("spans")), step, lambda acc: acc["spans"])
-    return F.when(may, spans).otherwise(none)
+    # One round of an aggregation binds the pairs to a variable, so that they are found once.
+    once = F.aggregate(F.array(pairs), none, lambda _, found: spans(found))
+    return F.when(may, once).otherwise(none)
+
+
+def running_sums(numbers: Column) -> Column:
+    """Sums up to each place of an array of int, in log2(n) passes of n steps: each adds the sum that ended 1, 2, 4, ... places before."""
+    passes = F.ceil(F.log2(F.greatest(F.size(numbers), F.lit(2)))).cast("int")
+    shifts = F.transform(F.sequence(F.lit(0), passes - 1), lambda k: F.call_function("shiftleft", F.lit(1), k))
+
+    def add(sums: Column, shift: Column) -> Column:
+        return F.transform(sums, lambda x, i: x + F.when(i >= shift, F.get(sums, i - shift)).otherwise(F.lit(0)))
+
+    return F.aggregate(shifts, numbers, add)
 
 
 def _term(count: Column, most: int) -> Column:
@@ -161,7 +172,8 @@ def scan_secrets(docs: DataFrame, classes: tuple[EntropyClass, ...] = CLASSES, a
 
     ``extra`` has the entropy spans that don't lie within a base span. Null text
     counts as empty and has none. Every row stays, repeated ones too; texts are
-    read whole; columns called base or extra are replaced.
+    read whole, however long and with however many matches; an empty table gives
+    an empty one; columns called base or extra are replaced.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     base = F.concat(*base_spans(text).values())
