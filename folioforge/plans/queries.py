@@ -7,20 +7,22 @@ rules that both sides state.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
+from functools import reduce
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioforge.functions import text as X
 from folioforge.operators.dedup import last_wins
-from folioforge.operators.gate import passes
+from folioforge.operators.gate import gate_counts, passes
 from folioforge.operators.merge import assign_ids, flag_languages, latest, merge_entity, merge_payload, resolve, sync_links, update_only, upsert
 from folioforge.plans.catalogue import ENTITIES as ENTITY_TABLES
 from folioforge.plans.catalogue import LINKS, PAYLOADS, merge_catalogue
 from folioforge.plans.spec import CATALOGUE, ENTITIES
-from folioforge.plans.update import ABANDONED, repair_runs
-from folioforge.session import materialize, scratch_path
+from folioforge.plans.update import ABANDONED, Staged, StageFailed, repair_runs, totals
+from folioforge.session import materialize, scratch_path, ship, together
 from folioforge.sources.dump import good_rows, read_dump, skip_report
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -238,17 +240,18 @@ def link_position_abs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-    WITH t AS (SELECT doc_id AS book, source AS title, lang AS text, source || '.jpg' AS file FROM documents WHERE doc_id % 3 <> 0),
-    s AS (SELECT doc_id AS book, CASE WHEN doc_id % 4 = 0 THEN 'new' ELSE source END AS title, lang AS text FROM documents WHERE doc_id % 5 <> 0)
-    SELECT coalesce(s.book, t.book) AS book, coalesce(s.title, t.title) AS title, coalesce(s.text, t.text) AS text, t.file,
+    WITH t AS (SELECT doc_id AS book, source AS title, CASE WHEN doc_id % 7 = 0 THEN text || '.' WHEN doc_id % 11 <> 0 THEN text END AS text, source || '.jpg' AS file FROM documents WHERE doc_id % 3 <> 0),
+    s AS (SELECT doc_id AS book, CASE WHEN doc_id % 4 = 0 THEN 'new' ELSE source END AS title, CASE WHEN doc_id % 13 <> 0 THEN text END AS text FROM documents WHERE doc_id % 5 <> 0)
+    SELECT coalesce(s.book, t.book) AS book, CASE WHEN s.book IS NULL THEN t.title ELSE s.title END AS title, sha256(CASE WHEN s.book IS NULL THEN t.text ELSE s.text END) AS text_sha256, t.file,
            CASE WHEN t.book IS NULL THEN 'insert' WHEN s.book IS NULL THEN 'keep' WHEN (t.title, t.text) IS DISTINCT FROM (s.title, s.text) THEN 'update' ELSE 'noop' END AS action
     FROM t FULL OUTER JOIN s ON s.book = t.book
 """)
 def payload_upsert_keep_file(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _t(spark, sf_dir, "documents")
-    old = docs.where("doc_id % 3 <> 0").select(F.col("doc_id").alias("book"), F.col("source").alias("title"), F.col("lang").alias("text"), F.concat("source", F.lit(".jpg")).alias("file"))
-    new = docs.where("doc_id % 5 <> 0").select(F.col("doc_id").alias("book"), F.when(F.col("doc_id") % 4 == 0, "new").otherwise(F.col("source")).alias("title"), F.col("lang").alias("text"))
-    return merge_payload(old, new, "book").withColumnRenamed("_action", "action")
+    docs, k = _t(spark, sf_dir, "documents"), F.col("doc_id")
+    before = F.when(k % 7 == 0, F.concat("text", F.lit("."))).when(k % 11 != 0, F.col("text"))
+    old = docs.where("doc_id % 3 <> 0").select(k.alias("book"), F.col("source").alias("title"), before.alias("text"), F.concat("source", F.lit(".jpg")).alias("file"))
+    new = docs.where("doc_id % 5 <> 0").select(k.alias("book"), F.when(k % 4 == 0, "new").otherwise(F.col("source")).alias("title"), F.when(k % 13 != 0, F.col("text")).alias("text"))
+    return merge_payload(old, new, "book").select("book", "title", F.sha2("text", 256).alias("text_sha256"), "file", F.col("_action").alias("action"))
 
 
 @query("""
@@ -276,6 +279,33 @@ def staging_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("passes", passes(F.col("staged"), F.col("target")))
 
 
+#: Staged links and links of the catalogue, whose books are of two sources; live are books of source 1 that are not deleted.
+GATE_BOOKS = "SELECT o_orderkey AS id, (o_orderkey % 2 + 1)::SMALLINT AS source, o_orderstatus = 'F' AS is_deleted FROM orders"
+GATE_LINKS = {"book_authors": (0, 3), "book_genres": (1, 4), "translations": (2, 5), "book_sequences": (3, 6)}
+
+
+@query(
+    f"""
+    WITH b AS ({GATE_BOOKS}), c AS (
+        SELECT 'books' AS table_name, (SELECT count(*) FROM orders WHERE o_orderkey % 4 = 0) AS staged, (SELECT count(*) FROM b WHERE source = 1 AND NOT is_deleted) AS target
+        """
+    + "".join(f"UNION ALL SELECT '{n}', (SELECT count(*) FROM lineitem WHERE l_linenumber = {a}), (SELECT count(*) FROM lineitem JOIN b ON id = l_orderkey WHERE source = 1 AND l_linenumber = {z}) " for n, (a, z) in GATE_LINKS.items())
+    + ") SELECT *, target = 0 OR staged::DOUBLE / target >= 0.5 AS passes FROM c"
+)
+def gate_two_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the gate counts: staged rows as they came, live books and links of this source's books."""
+    lines = _t(spark, sf_dir, "lineitem").select("l_linenumber", F.col("l_orderkey").alias("book"))
+    k = F.col("o_orderkey")
+    orders = _t(spark, sf_dir, "orders")
+    catalogue = {"books": orders.select(k.alias("id"), (k % 2 + 1).cast("smallint").alias("source"), (F.col("o_orderstatus") == "F").alias("is_deleted"))}
+    staged = {"staging_books": orders.where(k % 4 == 0)}
+    for name, (here, there) in GATE_LINKS.items():
+        staged[f"staging_{name}"] = lines.where(F.col("l_linenumber") == here)
+        catalogue[name] = lines.where(F.col("l_linenumber") == there)
+    counts = gate_counts(staged, catalogue, 1)
+    return counts.withColumn("passes", passes(F.col("staged"), F.col("target")))
+
+
 @query("""
     SELECT lang, sum(CASE WHEN ok THEN n ELSE 0 END)::BIGINT AS rows_staged, sum(CASE WHEN ok THEN skipped ELSE 0 END)::BIGINT AS rows_skipped,
            string_agg(CASE WHEN NOT ok THEN source || ' failed' END, '; ' ORDER BY source) AS error
@@ -283,11 +313,19 @@ def staging_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     GROUP BY lang
 """)
 def run_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sources of a language as the files of a run, some of which failed."""
+    ship(spark)
     files = _t(spark, sf_dir, "documents").groupBy("lang", "source").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("doc_id") % 10 == 0).alias("skipped"))
-    ok = F.col("skipped") % 3 != 0
-    failed = F.array_sort(F.collect_list(F.when(~ok, F.concat("source", F.lit(" failed")))))
-    out = files.groupBy("lang").agg(F.sum(F.when(ok, F.col("n")).otherwise(0)).alias("rows_staged"), F.sum(F.when(ok, F.col("skipped")).otherwise(0)).alias("rows_skipped"), failed.alias("failed"))
-    return out.select("lang", "rows_staged", "rows_skipped", F.when(F.size("failed") > 0, F.array_join("failed", "; ")).alias("error"))
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        outcomes = [Staged(r.source, None, r.n, r.skipped, error=None if r.skipped % 3 else f"{r.source} failed") for r in rows.sort_values("source").itertuples()]
+        try:
+            staged, skipped, error = *totals(outcomes), None
+        except StageFailed as failed:
+            staged, skipped, error = failed.staged, failed.skipped, str(failed)
+        return pd.DataFrame({"lang": [rows["lang"].iloc[0]], "rows_staged": [staged], "rows_skipped": [skipped], "error": [error]})
+
+    return files.groupBy("lang").applyInPandas(run, "lang string, rows_staged long, rows_skipped long, error string")
 
 
 #: Events as runs: errors are still running; the clock is fixed to the newest event.
@@ -390,19 +428,77 @@ def _whole_plan_sql() -> str:
     return f"WITH {', '.join(ctes)} SELECT table_name, action, count(*) AS n FROM ({' UNION ALL '.join(parts)}) GROUP BY ALL"
 
 
+def _twice(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    empty = {n: spark.createDataFrame([], schema) for n, schema in CATALOGUE.items()}
+    first = merge_catalogue(_snapshot(spark, sf_dir, 1), empty, 1, ["ru", "be"])
+    held = together({n: lambda n=n, df=df: materialize(df.drop("_action"), n) for n, df in first.items()})
+    return merge_catalogue(_snapshot(spark, sf_dir, 2), held, 1, ["ru", "be"])
+
+
 @query(_whole_plan_sql())
 def merge_catalogue_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All ten tables merged in two runs: how many rows the second inserted, updated, deleted or left, for each table."""
-    empty = {n: spark.createDataFrame([], schema) for n, schema in CATALOGUE.items()}
-    first = merge_catalogue(_snapshot(spark, sf_dir, 1), empty, 1, ["ru", "be"])
-    held = {n: materialize(df.drop("_action"), n) for n, df in first.items()}
     counts = None
-    for name, df in merge_catalogue(_snapshot(spark, sf_dir, 2), held, 1, ["ru", "be"]).items():
+    for name, df in _twice(spark, sf_dir).items():
         one = df.groupBy(F.lit(name).alias("table_name"), F.col("_action").alias("action")).agg(F.count(F.lit(1)).alias("n"))
         counts = one if counts is None else counts.unionByName(one)
     return counts
 
 
+def _joined(columns: Sequence[str], cast: str) -> str:
+    """SQL for the values of a row as one text, nulls too, in either dialect."""
+    return "concat_ws('|', " + ", ".join(f"coalesce({cast.format(c)}, '~')" for c in columns) + ")"
+
+
+def _contents_sql() -> str:
+    """What the tables hold after two runs, by upstream ids, from set operations on both snapshots."""
+    ctes, parts = [], []
+    for name, (columns, table, *rows) in STAGED.items():
+        for run in (1, 2):
+            ctes.append(f"{name}{run} AS (SELECT {columns.replace('{run}', str(run))} FROM {table} WHERE {rows[run - 1]})")
+    for name, (table, values) in ENTITY_TABLES.items():
+        columns = ["is_deleted OR lang = 'en'" if v == "is_deleted" else v for v in values]
+        # Books that the second run lacks are deleted; other entities stay as they were.
+        gone = ["true" if name == "books" and v == "is_deleted" else v for v in values]
+        ctes.append(f"{name}3 AS (SELECT remote_id AS k, {_joined(columns, '({})::VARCHAR')} AS v FROM {table}2 UNION ALL SELECT remote_id, {_joined(gone, '({})::VARCHAR')} FROM {table}1 ANTI JOIN {table}2 USING (remote_id))")
+        parts.append(f"SELECT '{name}' AS table_name, k AS one, NULL::INT AS other, v FROM {name}3")
+    for name, (other, end, values) in LINKS.items():
+        v = "(abs(arg_max(position, _ord)))::VARCHAR" if name == "book_sequences" else "arg_max(position, _ord)::VARCHAR" if values else "''"
+        parts.append(f"SELECT '{name}', book_remote_id, {end}_remote_id, {v} FROM staging_{name}2 SEMI JOIN books3 b ON b.k = book_remote_id SEMI JOIN {other}3 o ON o.k = {end}_remote_id GROUP BY book_remote_id, {end}_remote_id")
+    for name, (owner, end) in PAYLOADS.items():
+        pics = f"staging_{name[:-1]}_pics"
+        for run, known in ((1, f"{ENTITY_TABLES[owner][0]}1"), (2, f"(SELECT k AS remote_id FROM {owner}3)")):
+            ctes.append(f"{name}{run} AS (SELECT {end}_remote_id AS k, title, text FROM staging_{name}{run} WHERE text IS NOT NULL AND {end}_remote_id IN (SELECT remote_id FROM {known}))")
+        parts.append(f"""
+            SELECT '{name}', coalesce(s.k, t.k), NULL, concat_ws('|', coalesce(s.title, t.title), coalesce(s.text, t.text), coalesce(p2.file, CASE WHEN t.k IS NOT NULL THEN p1.file END, '~'))
+            FROM {name}1 t FULL OUTER JOIN {name}2 s ON t.k = s.k LEFT JOIN {pics}1 p1 ON p1.{end}_remote_id = t.k LEFT JOIN {pics}2 p2 ON p2.{end}_remote_id = coalesce(s.k, t.k)
+        """)
+    return f"WITH {', '.join(ctes)} SELECT table_name, one, other, sha256(v) AS content_sha256 FROM ({' UNION ALL '.join(parts)})"
+
+
+@query(_contents_sql())
+def merged_contents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What all ten tables hold after two runs: local ids resolved back to upstream ones, and a digest of the values."""
+    tables = _twice(spark, sf_dir)
+    upstream = {n: tables[n].select(F.col("id").alias(f"{n}_id"), F.col("remote_id").alias(f"{n}_remote")) for n in ENTITY_TABLES}
+    parts = []
+
+    def part(name: str, df: DataFrame, one: str, other: str | None, values: Sequence[str]) -> None:
+        content = F.sha2(F.expr(_joined(values, "string({})")) if values else F.lit(""), 256)
+        parts.append(df.select(F.lit(name).alias("table_name"), F.col(one).alias("one"), (F.col(other) if other else F.lit(None).cast("int")).alias("other"), content.alias("content_sha256")))
+
+    def named(df: DataFrame, column: str, table: str) -> DataFrame:
+        return df.join(upstream[table], df[column] == upstream[table][f"{table}_id"])
+
+    for name, (_, values) in ENTITY_TABLES.items():
+        part(name, tables[name], "remote_id", None, values)
+    for name, (other, end, values) in LINKS.items():
+        part(name, named(named(tables[name], "book", "books"), end, other), "books_remote", f"{other}_remote", values)
+    for name, (owner, end) in PAYLOADS.items():
+        part(name, named(tables[name], end, owner), f"{owner}_remote", None, ("title", "text", "file"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 # ---- cleaning ---------------------------------------------------------------
 
 #: Language tags with subtags, spaces and a hard space.
@@ -440,15 +536,44 @@ def clean_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _escaped(spark, sf_dir).select("doc_id", F.sha2(X.clean_name("raw"), 256).alias("text_sha256"))
 
 
-@query(r"""
-    SELECT doc_id, sha256(regexp_replace(replace(replace(replace(replace(replace(text, '. ', '.<br>'), 'e ', 'e&nbsp; '), 'a ', 'a' || chr(160) || ' '), '<br>', chr(10)), '&nbsp;', ' '), '[ ' || chr(160) || ']+', ' ', 'g')) AS text_sha256
-    FROM documents
-""")
+#: What is put into whole texts: breaks, hard spaces, escapes, tags that go and links that stay; and what has become of it.
+MARKUP = (
+    (". ", ".<br>", ".\n"),
+    ("e ", "e&nbsp; ", "e  "),
+    ("a ", "a  ", "a  "),
+    ("n ", "n\\' ", "n' "),
+    ("s ", 's\\" ', 's" '),
+    ("t ", "t <b class=x>& ", "t &amp; "),
+    ("r ", "r</b> ", "r "),
+    ("o ", 'o <a href="http://x/" onclick="f()">l</a> ', 'o <a href="http://x/" rel="noopener noreferrer">l</a> '),
+)
+#: Those that don't depend on how a string literal is escaped.
+PLAIN_MARKUP = tuple(m for m in MARKUP if "\\" not in m[1])
+
+
+def _marked(text: F.Column, marks: Sequence[tuple[str, str, str]]) -> F.Column:
+    """Texts with marks, after the characters that marks are made of were taken out; places are found before any mark goes in."""
+    out = F.translate(text, "<>&\\ ", "")
+    for k, (a, _, _) in enumerate(marks):
+        out = F.replace(out, F.lit(a), F.lit(a[0] + chr(1 + k)))
+    for k, (a, b, _) in enumerate(marks):
+        out = F.replace(out, F.lit(a[0] + chr(1 + k)), F.lit(b))
+    return out
+
+
+def _cleaned_sql(text: str, marks: Sequence[tuple[str, str, str]]) -> str:
+    quoted = lambda x: "'" + x.replace("'", "''") + "'"
+    out = f"translate({text}, {quoted('<>&' + chr(92) + chr(160))}, '')"
+    for k, (a, _, _) in enumerate(marks):
+        out = f"replace({out}, {quoted(a)}, {quoted(a[0])} || chr({1 + k}))"
+    for k, (a, _, b) in enumerate(marks):
+        out = f"replace({out}, {quoted(a[0])} || chr({1 + k}), {quoted(b)})"
+    return f"regexp_replace({out}, ' {{2,}}', ' ', 'g')"
+
+
+@query(f"SELECT doc_id, sha256({_cleaned_sql('text', MARKUP)}) AS text_sha256 FROM documents")
 def annotation_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = F.col("text")
-    for a, b in ((". ", ".<br>"), ("e ", "e&nbsp; "), ("a ", "a  ")):
-        raw = F.replace(raw, F.lit(a), F.lit(b))
-    return _t(spark, sf_dir, "documents").select("doc_id", F.sha2(X.fold_breaks(raw), 256).alias("text_sha256"))
+    return _t(spark, sf_dir, "documents").select("doc_id", F.sha2(X.annotation_text(_marked(F.col("text"), MARKUP)), 256).alias("text_sha256"))
 
 
 @query()
@@ -481,13 +606,14 @@ def _literal(c: str) -> F.Column:
     return F.concat(F.lit("'"), escaped, F.lit("'"))
 
 
-def _dump(rows: DataFrame, tuple_text: F.Column, number: F.Column, spark: SparkSession) -> str:
-    """Write rows as INSERT lines of up to 50 rows each, gzip'd, between other lines."""
+def _dump(rows: DataFrame, tuple_text: F.Column, number: F.Column, spark: SparkSession, one_file: bool = False) -> str:
+    """Write rows as INSERT lines of up to 50 rows each, gzip'd, between other lines; the path is that of a folder, or of its one file."""
     lines = rows.groupBy(F.floor(number / 50).alias("n")).agg(F.sort_array(F.collect_list(F.struct(number.alias("k"), tuple_text.alias("v")))).alias("rows"))
     insert = F.concat(F.lit("INSERT INTO `t` VALUES "), F.array_join(F.transform("rows", lambda r: r["v"]), ","), F.lit(";"))
     path = scratch_path(spark, "dump")
-    lines.select(F.explode(F.array(insert, F.lit("/*!40000 ALTER TABLE `t` ENABLE KEYS */;"))).alias("value")).write.option("compression", "gzip").text(path)
-    return path
+    lines = lines.select(F.explode(F.array(insert, F.lit("/*!40000 ALTER TABLE `t` ENABLE KEYS */;"))).alias("value"))
+    (lines.coalesce(1) if one_file else lines).write.option("compression", "gzip").text(path)
+    return spark.read.text(path).inputFiles()[0] if one_file else path
 
 
 @query("SELECT c_custkey::INT AS remote_id, c_name || ' O''Neil' AS first_name, c_mktsegment || '; \\x' AS last_name, c_mktsegment AS middle_name FROM customer")
@@ -517,3 +643,63 @@ def dump_stage_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.concat(F.lit("("), F.concat_ws(",", "l_linenumber", "l_orderkey", "l_partkey"), F.lit(")"))
     path = _dump(rows, text, F.col("l_orderkey"), spark)
     return good_rows(read_dump(spark, path, ENTITIES["BookGenre"])).select("book_remote_id", "genre_remote_id")
+
+
+#: Entities that given tables are written as: table, its number, and SQL for what is read back.
+_BODY = "CASE WHEN doc_id % 5 <> 0 THEN {} END"
+DUMPED = {
+    "Book": ("orders", "o_orderkey", ("o_orderkey", "o_orderpriority", "'ru'", "'fb2'", "o_orderdate::DATE", "o_orderkey % 2 = 0", "7", "CASE WHEN o_orderkey % 3 = 0 THEN 0 ELSE 1999 END")),
+    "BookAuthor": ("lineitem", "l_orderkey", ("l_orderkey", "l_partkey")),
+    "Translator": ("lineitem", "l_orderkey", ("l_orderkey", "l_suppkey", "l_linenumber")),
+    "SequenceInfo": ("lineitem", "l_orderkey", ("l_orderkey", "l_suppkey", "l_linenumber")),
+    "BookAnnotation": ("documents", "doc_id", ("doc_id", "source", _BODY.format(_cleaned_sql("text", PLAIN_MARKUP)))),
+    "BookAnnotationPic": ("labels", "doc_id", ("doc_id", "'f' || quality || '.jpg'")),
+    "AuthorAnnotation": ("documents", "doc_id", ("doc_id", "'t'", _BODY.format(_cleaned_sql("text", ())))),
+    "AuthorAnnotationPic": ("pages", "page_id", ("page_id", "url")),
+    "Genre": ("part", "p_partkey", ("p_partkey", "p_brand", "p_type", "p_name")),
+}
+
+
+def _literals() -> dict[str, list[F.Column]]:
+    """The literals of a row of each entity; ``marked`` and ``plain`` are texts with and without markup."""
+
+    def number(c: str) -> F.Column:
+        return F.col(c).cast("string")
+
+    day = F.concat(F.lit("'"), F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"), F.lit("'"))
+    year = F.when(F.col("o_orderkey") % 3 == 0, "-5").otherwise("1999")
+    flag = F.when(F.col("o_orderkey") % 2 == 0, "'1'").otherwise("'0'")
+    signed = F.concat(F.when(F.col("l_linenumber") % 2 == 0, "-").otherwise(""), number("l_linenumber"))
+    none = F.col("doc_id") % 5 == 0
+    picture = F.concat(F.lit("'f"), number("quality"), F.lit(".jpg'"))
+    zero, no_text = F.lit("0"), F.lit("''")
+    return {
+        "Book": [number("o_orderkey"), zero, day, _literal("o_orderpriority"), no_text, F.lit("' RU-x'"), no_text, no_text, F.lit("'fb2'"), no_text, year, flag, *[F.lit("NULL")] * 8, F.lit("7")],
+        "BookAuthor": [number("l_orderkey"), number("l_partkey"), zero],
+        "Translator": [number("l_orderkey"), number("l_suppkey"), number("l_linenumber")],
+        "SequenceInfo": [number("l_orderkey"), number("l_suppkey"), signed],
+        "BookAnnotation": [number("doc_id"), zero, _literal("source"), F.when(none, "NULL").otherwise(_literal("marked"))],
+        "BookAnnotationPic": [number("doc_id"), zero, picture],
+        "AuthorAnnotation": [number("doc_id"), zero, F.lit("'t'"), F.when(none, "NULL").otherwise(_literal("plain"))],
+        "AuthorAnnotationPic": [number("page_id"), zero, _literal("url")],
+        "Genre": [number("p_partkey"), _literal("p_brand"), _literal("p_type"), _literal("p_name")],
+    }
+
+
+@query(" UNION ALL ".join(f"SELECT '{name}' AS entity, sha256({_joined(columns, '({})::VARCHAR')}) AS content_sha256 FROM {table}" for name, (table, _, columns) in DUMPED.items()))
+def dump_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The entities that no other query reads, each from one gzip'd dump file, all at the same time."""
+    literals = _literals()
+
+    def read(name: str) -> DataFrame:
+        table, key, _ = DUMPED[name]
+        rows = _t(spark, sf_dir, table)
+        if table == "documents":
+            rows = rows.withColumns({"marked": _marked(F.col("text"), PLAIN_MARKUP), "plain": _marked(F.col("text"), ())})
+        row = F.concat(F.lit("("), F.concat_ws(",", *literals[name]), F.lit(")"))
+        path = _dump(rows, row, F.col(key), spark, one_file=True)
+        values = [f.name for f in ENTITIES[name].fields]
+        return good_rows(read_dump(spark, path, ENTITIES[name])).select(F.lit(name).alias("entity"), F.sha2(F.expr(_joined(values, "string({})")), 256).alias("content_sha256"))
+
+    found = together({name: lambda name=name: read(name) for name in DUMPED})
+    return reduce(DataFrame.unionByName, found.values())

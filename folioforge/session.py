@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+T = TypeVar("T")
+
 _SHIPPED: set[str] = set()
 _OWN_SCRATCH: dict[str, str] = {}
 
@@ -16,14 +23,22 @@ _OWN_SCRATCH: dict[str, str] = {}
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder for intermediate tables.
 
-    It is the cluster's ``spark.checkpoint.dir``; only where that is unset, as
-    in local tests, a temporary folder of this machine is used.
+    It is the cluster's ``spark.checkpoint.dir``. Only a local master, as in
+    tests, may leave that unset: then a temporary folder of this machine is
+    used, and removed when the process ends. Tables in the cluster's folder
+    outlive the application that wrote them, for results are read from them;
+    the folder is the cluster's to clear.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local"):
+            raise RuntimeError(f"spark.checkpoint.dir is not set, and executors of {master} don't share this machine's folders")
         app = spark.sparkContext.applicationId
         if app not in _OWN_SCRATCH:
-            _OWN_SCRATCH[app] = "file://" + tempfile.mkdtemp(prefix="spark-")
+            folder = tempfile.mkdtemp(prefix="spark-")
+            atexit.register(shutil.rmtree, folder, ignore_errors=True)
+            _OWN_SCRATCH[app] = "file://" + folder
         shared = _OWN_SCRATCH[app]
     return shared.rstrip("/")
 
@@ -45,6 +60,13 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def together(jobs: Mapping[str, Callable[[], T]]) -> dict[str, T]:
+    """Results of jobs that don't depend on each other, each with Spark jobs of its own at the same time."""
+    with ThreadPoolExecutor(max(1, len(jobs))) as pool:
+        running = {name: pool.submit(job) for name, job in jobs.items()}
+        return {name: job.result() for name, job in running.items()}
+
+
 def ship(spark: SparkSession) -> SparkSession:
     """Make this package importable in Python workers, wherever they start.
 

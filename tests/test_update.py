@@ -1,7 +1,9 @@
 import gzip
 import http.server
 import json
+import os
 import threading
+import time
 from datetime import datetime, timedelta, timezone
 
 import pytest
@@ -12,6 +14,7 @@ from folioforge.plans import update as U
 from folioforge.plans.spec import CATALOGUE, ENTITIES
 from folioforge.sources import fetch as G
 from folioforge.sources import snapshot as N
+from folioforge.sources.lease import Held, Lease, Lost
 
 VALUES = {
     "Author": ["(1,'A','','B')", "(2,'C','','D')"],
@@ -145,6 +148,47 @@ def test_locks(spark, root, tmp_path):
     assert N.read_text(spark, f"{root}/LOCK") is None and N.current_version(spark, root) == 0
 
 
+def test_a_lock_ends_with_its_owner(spark, root, tmp_path):
+    """A process died: its lock and its running line are left."""
+    now = datetime.now(timezone.utc)
+    N.write_new(spark, f"{root}/LOCK", "dead")
+    N.append_run(spark, root, (1, 1, "running", now - timedelta(days=2), None, 3, 4, None))
+    with pytest.raises(U.Busy, match="another process"):
+        updater(spark, root).run(dumps(tmp_path))
+    os.utime(root.removeprefix("file://") + "/LOCK", (0, time.time() - 700))
+    u = updater(spark, root)
+    assert u.run(dumps(tmp_path)) == 1
+    runs = {r["id"]: (r["status"], r["error"]) for r in N.read_runs(spark, root).collect()}
+    assert runs == {1: ("failed", U.ABANDONED), 2: ("success", None)}
+    assert N.read_text(spark, f"{root}/LOCK") is None
+    assert f"update_last_success_timestamp_seconds {int(datetime.fromisoformat(u.state.last_success).timestamp())}\n" in u.metrics_text()
+    assert "update_last_success_timestamp_seconds 0\n" in updater(spark, root).metrics_text()
+
+
+def test_a_lock_is_renewed_and_its_loss_stops_publication(spark, root, tmp_path):
+    path = f"{root}/LOCK"
+    with Lease(spark, path, 0.5) as mine:
+        time.sleep(1.2)
+        with pytest.raises(Held):
+            Lease(spark, path, 0.5).__enter__()
+        mine.check()
+        N.write_new(spark, path, "other", overwrite=True)
+        with pytest.raises(Lost):
+            mine.check()
+        with pytest.raises(Lost):
+            N.publish(spark, root, {}, mine.check)
+    assert N.read_text(spark, path) == "other" and N.current_version(spark, root) == 0
+    # Only a lock that is there means that someone is at work: other faults of the store are not hidden.
+    with pytest.raises(Exception) as e:
+        U.Updater(spark, "nosuchstore://x", "main").run({})
+    assert not isinstance(e.value, U.Busy)
+
+
+def test_statuses_of_runs_are_checked(spark, root):
+    with pytest.raises(N.ConstraintViolation, match="no status"):
+        N.append_run(spark, root, (1, 1, "done", None, None, 0, 0, None))
+
+
 def test_old_runs_are_repaired(spark, root, tmp_path):
     now = datetime(2024, 5, 5, 12, tzinfo=timezone.utc)
     N.append_run(spark, root, (1, 1, "running", now - timedelta(days=2), None, 3, 4, None))
