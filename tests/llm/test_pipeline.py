@@ -1,3 +1,4 @@
+import hashlib
 from collections import Counter
 
 import pytest
@@ -14,11 +15,12 @@ from test_mixing import brute as mixed  # noqa: E402
 
 def test_stages_against_brute_force(spark, tmp_path):
     rows = corpus(240)
+    rows += [(4000, " ".join(rows[k % 240][1] for k in range(0, 3 * 3000, 3)), "en", "long")]
     rows += [(1000 + i, t, "en", "hot") for i, t in near_copies(group=60, others=10, words=60)]
     rows += [(2000 + i, rows[i][1], "en", "copies") for i in range(0, 60, 2)] + [(3000, None, "en", "s"), (3001, "", "de", "s"), (3002, "12 34", "fr", None)]
     documents(spark, rows).write.parquet(str(tmp_path / "documents.parquet"))
     got = C.run(spark, str(tmp_path))
-    assert got.columns == ["doc_id", "lang", "source", "token_ids", "n_tokens"]
+    assert got.columns == ["doc_id", "lang", "source", "token_ids", "n_tokens", "decoded_sha256"]
 
     scored = {r["doc_id"]: r for r in langid.identify(documents(spark, rows)).collect()}
     one = [r for r in rows if scored[r[0]]["lang_pred"] != "und" and scored[r[0]]["score"] >= 0.5]
@@ -39,6 +41,7 @@ def test_stages_against_brute_force(spark, tmp_path):
     text = {r[0]: r[1] for r in rows}
     for r in got.collect():
         assert r["token_ids"] == t.encode(text[r["doc_id"]], add_special_tokens=False).ids and r["n_tokens"] == len(r["token_ids"])
+        assert r["decoded_sha256"] == hashlib.sha256(t.decode(r["token_ids"], skip_special_tokens=False).encode()).hexdigest()
 
 
 def test_stage_list():
@@ -68,4 +71,4 @@ def test_rows_without_id_and_repeated_rows(spark):
 def test_empty_documents(spark):
     docs = stages(spark, documents(spark, []))
     assert docs.count() == 0
-    assert C.tokenize(spark, docs, "").columns == ["doc_id", "lang", "source", "token_ids", "n_tokens"]
+    assert C.tokenize(spark, docs, "").columns == ["doc_id", "lang", "source", "token_ids", "n_tokens", "decoded_sha256"]
