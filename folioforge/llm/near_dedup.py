@@ -8,13 +8,14 @@
    goes if its posterior probability of reaching the threshold, given the
    matches so far, is below the chosen miss probability. Survivors are
    verified on their full sets; links give components.
-4. Members of buckets that still hold several components are compared through
-   the rarest shingles of their full sets: two sets that reach the threshold
-   have one in common among the few that either could do without. So texts that
-   share a passage but not enough of it, however many there are, don't meet. Pairs
-   of different components that do meet pass the same pruning and verification;
-   members of one component are never paired, so a large group of copies costs
-   as many rows as it has members.
+4. Members of buckets that still hold several components are compared within
+   their bucket, if they are tied: two sets that reach the threshold have a
+   shingle in common among the few rarest that either could do without. So texts
+   that share a passage but not enough of it, however many there are, don't meet.
+   Tied members of different components pass the same pruning, in blocks of
+   bounded size, and what survives is verified on the full sets, which stops as
+   soon as components are joined. Members of one component are never paired, so
+   a large group of copies costs as many rows as it has members.
 """
 
 from __future__ import annotations
@@ -40,8 +41,8 @@ BATCH = 32
 #: Bits of the membership map that tells which documents' sets are wanted, for each of them, and in all, at most (16 MB are broadcast).
 MAP_BITS_EACH = 16
 MAP_BITS = 1 << 27
-#: Members of a block, on average, where many share a rare shingle; and rows of such blocks that a task holds at a time.
-BLOCK = 128
+#: Members of a block, on average; and rows of blocks that a task holds at a time.
+BLOCK = 1024
 GROUP_ROWS = 4096
 #: Bytes of sets that a task holds at a time, on average, when it verifies pairs.
 SET_BYTES = 8 << 20
@@ -279,96 +280,126 @@ def rare_shingles(members: DataFrame, sets: DataFrame, near: Near) -> DataFrame:
     return ranked.where(F.col("n") - F.col("met") + F.col("place") <= spare).select("id", "comp", "n", "shingle")
 
 
-def meetings(rare: DataFrame, lanes: DataFrame, near: Near) -> DataFrame:
-    """(a, b, comp_a, comp_b, matches) of pairs of different components that share a rare shingle and survive sequential comparison.
+def tied_members(rare: DataFrame) -> DataFrame:
+    """(id, cluster): members that share a rare shingle with another component, clusters by such ties between components."""
+    ends = rare.groupBy("shingle").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("shingle", "low")
+    # Written before it is joined, so that the members of a hot shingle can be split.
+    tied = materialize(rare.join(materialize(ends, "ends"), "shingle").select("id", "comp", "low"), "tied")
+    known = components(tied.select(F.col("comp").alias("a"), F.col("low").alias("b")).distinct()).select(F.col("node").alias("comp"), F.col("comp").alias("cluster"))
+    return tied.select("id", "comp").distinct().join(known, "comp").select("id", "cluster")
 
-    The largest component of a shingle has blocks of its own, the other members
-    share blocks; blocks are dealt by a hash of the id. Pairs of blocks that
-    only hold the largest component are left out. A task holds a bounded number
-    of rows, of many pairs of blocks.
+
+def deal(members: DataFrame, facts: DataFrame) -> DataFrame:
+    """Members (key, cluster, id, comp) to pairs of blocks (i, j) of each bucket and cluster, with their lanes and bands.
+
+    The largest component has blocks of its own, the other members share
+    blocks; blocks are dealt by a hash of the id. Pairs of blocks that only hold
+    the largest component are left out.
     """
-    least = near.least_matches()
-    sizes = rare.groupBy("shingle", "comp").agg(F.count(F.lit(1)).alias("m"))
-    stats = sizes.groupBy("shingle").agg(F.max_by("comp", F.struct("m", "comp")).alias("main"), F.max("m").alias("m_main"), F.sum("m").alias("m_all"))
-    stats = stats.where("m_all > m_main").select("shingle", "main", F.ceil(F.col("m_main") / BLOCK).cast("int").alias("k_main"), F.ceil((F.col("m_all") - F.col("m_main")) / BLOCK).cast("int").alias("k_pool"))
-    # Written before they are joined, so that the members of a hot shingle can be split.
-    dealt = rare.join(materialize(stats, "met"), "shingle")
+    sizes = members.groupBy("key", "cluster", "comp").agg(F.count(F.lit(1)).alias("m"))
+    stats = sizes.groupBy("key", "cluster").agg(F.max_by("comp", F.struct("m", "comp")).alias("main"), F.max("m").alias("m_main"), F.sum("m").alias("m_all"))
+    stats = stats.where("m_all > m_main").select("key", "cluster", "main", F.ceil(F.col("m_main") / BLOCK).cast("int").alias("k_main"), F.ceil((F.col("m_all") - F.col("m_main")) / BLOCK).cast("int").alias("k_pool"))
+    # Written before they are joined, so that the members of a hot bucket can be split.
+    dealt = members.join(materialize(stats, "stats"), ["key", "cluster"])
     is_main = F.col("comp") == F.col("main")
     block = F.when(is_main, F.pmod(F.xxhash64("id"), F.col("k_main"))).otherwise(F.col("k_main") + F.pmod(F.xxhash64("id"), F.col("k_pool"))).cast("int")
     first = F.when(is_main, F.col("k_main")).otherwise(F.lit(0))
-    dealt = dealt.select("shingle", "id", "comp", "n", block.alias("block"), F.explode(F.sequence(first, F.col("k_main") + F.col("k_pool") - 1)).alias("other"))
-    dealt = materialize(dealt.select("shingle", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "id", "comp", "n"), "dealt")
+    dealt = materialize(dealt.select("key", "cluster", "id", "comp", block.alias("block"), first.alias("first"), (F.col("k_main") + F.col("k_pool") - 1).alias("last")), "dealt")
+    dealt = dealt.join(facts, "id").withColumn("other", F.explode(F.sequence("first", "last")))
+    return dealt.select("key", "cluster", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "id", "comp", "lanes", "bands")
+
+
+def near_pairs(group: pa.Table, least: list[int]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(rows, rows, matches) of pairs of different components that survive sequential comparison, some at a time.
+
+    A pair is looked at in the first of the buckets that it shares, and nowhere else.
+    """
+    key = np.stack([group[c].to_numpy().astype(np.int64) for c in ("key", "cluster", "i", "j")])
+    order = np.lexsort(key[::-1])
+    key = key[:, order]
+    block, comp, ids = (group[c].to_numpy().astype(np.int64) for c in ("block", "comp", "id"))
+    lanes = _lanes(group["lanes"])
+    bands = np.array(group["bands"].combine_chunks().flatten()).reshape(len(block), -1)
+    edges = np.flatnonzero(np.concatenate([[True], (key[:, 1:] != key[:, :-1]).any(axis=0), [True]]))
+    held: list[np.ndarray] = []
+    waiting = 0
+
+    def compare() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        x, y, bucket = np.concatenate(held, axis=1)
+        held.clear()
+        keep = comp[x] != comp[y]
+        x, y, bucket = x[keep], y[keep], bucket[keep]
+        alive, matches = survivors(lanes[x], lanes[y], least)
+        x, y, bucket = x[alive], y[alive], bucket[alive]
+        same = bands[x] == bands[y]
+        home = bands[x, same.argmax(axis=1)] == bucket
+        return x[home], y[home], matches[home]
+
+    for a, b in zip(edges[:-1], edges[1:], strict=True):
+        rows, (bucket, _, i, j) = order[a:b], key[:, a]
+        left = rows[block[rows] == i]
+        right = left if i == j else rows[block[rows] == j]
+        for start in range(0, len(left), 64):
+            part = left[start : start + 64]
+            x, y = np.repeat(part, len(right)), np.tile(right, len(part))
+            if i == j:
+                once = ids[x] < ids[y]
+                x, y = x[once], y[once]
+            held.append(np.stack([x, y, np.full(len(x), bucket)]))
+            waiting += len(x)
+            if waiting >= PAIRS:
+                yield compare()
+                waiting = 0
+    if held:
+        yield compare()
+
+
+def meetings(dealt: DataFrame, near: Near) -> DataFrame:
+    """The rows of ``dealt`` without lanes and bands that have a pair which survives: what sets are fetched for."""
+    least = near.least_matches()
+    columns = ["key", "cluster", "i", "j", "block", "id", "comp"]
     groups = max(1, -(-dealt.count() // GROUP_ROWS))
-    keyed = dealt.join(lanes, "id").withColumn("group", F.pmod(F.xxhash64("shingle", "i", "j"), F.lit(groups)))
 
     def run(group: pa.Table) -> pa.Table:
-        key = np.stack([group[c].to_numpy().astype(np.int64) for c in ("shingle", "i", "j")])
-        order = np.lexsort(key[::-1])
-        key = key[:, order]
-        block, ids, comp, n = (group[c].to_numpy()[order].astype(np.int64) for c in ("block", "id", "comp", "n"))
-        lane = _lanes(group["lanes"])[order]
-        edges = np.flatnonzero(np.concatenate([[True], (key[:, 1:] != key[:, :-1]).any(axis=0), [True]]))
-        out: list[tuple[np.ndarray, ...]] = []
-        held: list[np.ndarray] = []
-
-        def compare() -> None:
-            if held:
-                x, y = np.concatenate(held, axis=1)
-                held.clear()
-                keep = (comp[x] != comp[y]) & (100 * np.minimum(n[x], n[y]) >= near.percent * np.maximum(n[x], n[y]))
-                x, y = x[keep], y[keep]
-                x, y = np.where(ids[x] < ids[y], x, y), np.where(ids[x] < ids[y], y, x)
-                # Pairs that meet at several shingles of this group are compared once.
-                _, one = np.unique(np.stack([ids[x], ids[y]]), axis=1, return_index=True)
-                x, y = x[one], y[one]
-                alive, matches = survivors(lane[x], lane[y], least)
-                out.append((ids[x[alive]], ids[y[alive]], comp[x[alive]], comp[y[alive]], matches))
-
-        waiting = 0
-        for a, b in zip(edges[:-1], edges[1:], strict=True):
-            i, j = key[1, a], key[2, a]
-            left = a + np.flatnonzero(block[a:b] == i)
-            right = left if i == j else a + np.flatnonzero(block[a:b] == j)
-            for start in range(0, len(left), 512):
-                part = left[start : start + 512]
-                x, y = np.repeat(part, len(right)), np.tile(right, len(part))
-                if i == j:
-                    x, y = x[x < y], y[x < y]
-                held.append(np.stack([x, y]))
-                waiting += len(x)
-                if waiting >= PAIRS:
-                    compare()
-                    waiting = 0
-        compare()
-        columns = [np.concatenate(c) for c in zip(*out, strict=True)] or [np.empty(0, np.int64)] * 5
-        return pa.table({c: pa.array(v.astype(np.int64)) for c, v in zip(("a", "b", "comp_a", "comp_b", "matches"), columns, strict=True)})
-
-    return keyed.groupBy("group").applyInArrow(run, "a long, b long, comp_a long, comp_b long, matches long")
-
-
-def late_links(members: DataFrame, lanes: DataFrame, sets: DataFrame, near: Near) -> DataFrame:
-    """(a, b): components of members (id, comp) that links between members join.
-
-    Of all pairs of members between two components the one with most matches is
-    verified first; the others only if that has not joined their components.
+        hit = np.zeros(group.num_rows, bool)
+        for x, y, _ in near_pairs(group, least):
+            hit[x] = hit[y] = True
+        return group.select(columns).filter(pa.array(hit))
+
+    keyed = dealt.withColumn("group", F.pmod(F.xxhash64("key", "cluster", "i", "j"), F.lit(groups)))
+    return keyed.groupBy("group").applyInArrow(run, "key long, cluster long, i int, j int, block int, id long, comp long")
+
+
+def late_links(met: DataFrame, facts: DataFrame, sets: DataFrame, near: Near) -> DataFrame:
+    """(a, b): components that links between the rows of ``meetings`` join.
+
+    Pairs with most matches are verified first, and none whose components are joined already.
     """
-    met = materialize(meetings(materialize(rare_shingles(members, sets, near), "rare"), lanes, near), "met").dropDuplicates(["a", "b"])
-    named = met.withColumns({"low": F.least("comp_a", "comp_b"), "high": F.greatest("comp_a", "comp_b")})
-    best = named.groupBy("low", "high").agg(F.max_by(F.struct("a", "b"), F.struct("matches", "a", "b")).alias("pair"))
-    tried = materialize(best.select("low", "high", "pair.a", "pair.b"), "tried")
-    yes = verify(tried.select("a", "b"), sets, near)
-    joined = materialize(tried.join(yes, ["a", "b"]).select(F.col("low").alias("a"), F.col("high").alias("b")), "joined")
-    known = components(joined)
-
-    def root(c: str) -> DataFrame:
-        return known.select(F.col("node").alias(c), F.col("comp").alias(f"{c}_root"))
-
-    left = named.join(tried.select("a", "b"), ["a", "b"], "left_anti").join(root("low"), "low", "left").join(root("high"), "high", "left")
-    left = materialize(left.where(F.coalesce("low_root", "low") != F.coalesce("high_root", "high")).select("a", "b", "low", "high"), "left")
-    if left.isEmpty():
-        return joined
-    more = left.join(verify(left.select("a", "b"), sets, near), ["a", "b"]).select(F.col("low").alias("a"), F.col("high").alias("b"))
-    return joined.unionByName(more.distinct())
+    least = near.least_matches()
+    total = met.join(sets.select("id", F.octet_length("set").cast("long").alias("bytes")), "id").agg(F.sum("bytes")).first()[0]
+    groups = max(1, -(-int(total or 0) // SET_BYTES))
+
+    def run(group: pa.Table) -> pa.Table:
+        comp = group["comp"].to_numpy()
+        sets = [np.frombuffer(s.as_py(), "<u8") for s in group["set"]]
+        root: dict[int, int] = {}
+
+        def top(x: int) -> int:
+            while root.get(x, x) != x:
+                x = root[x]
+            return x
+
+        out: list[tuple[int, int]] = []
+        for x, y, matches in near_pairs(group, least):
+            for k in np.argsort(-matches, kind="stable"):
+                p, q = top(int(comp[x[k]])), top(int(comp[y[k]]))
+                if p != q and linked(sets[x[k]], sets[y[k]], near.percent):
+                    root[max(p, q)] = min(p, q)
+                    out.append((int(comp[x[k]]), int(comp[y[k]])))
+        return pa.table({"a": pa.array([p for p, _ in out], pa.int64()), "b": pa.array([q for _, q in out], pa.int64())})
+
+    keyed = met.join(facts, "id").join(sets, "id").withColumn("group", F.pmod(F.xxhash64("key", "cluster", "i", "j"), F.lit(groups)))
+    return keyed.groupBy("group").applyInArrow(run, "a long, b long")
 
 
 def near_dedup(docs: DataFrame, near: Near | None = None) -> DataFrame:
@@ -400,7 +431,7 @@ def _class_components(docs: DataFrame, classes: DataFrame, near: Near) -> DataFr
     # Counts are written before they are joined: only then can Spark split the rows of a hot key.
     shared = materialize(keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "shared")
     members = materialize(keys.join(shared, "key"), "members")
-    wanted = members.select("id").distinct().join(classes.select("id", "digest", "lanes"), "id")
+    wanted = members.select("id").distinct().join(classes.select("id", "digest", "lanes", "bands"), "id")
     wanted = materialize(wanted, "wanted")
     sets = materialize(full_sets(docs, wanted.select("id", "digest"), near), "sets")
     lanes = wanted.select("id", "lanes")
@@ -415,10 +446,15 @@ def _class_components(docs: DataFrame, classes: DataFrame, near: Near) -> DataFr
     # A bucket of two has been compared as a whole.
     mixed = known.where("n > 2").groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("key")
     mixed = materialize(mixed, "buckets")
-    left = materialize(known.join(mixed, "key").select("id", "comp"), "mixed")
+    left = materialize(known.join(mixed, "key").select("key", "id", "comp"), "mixed")
     if left.isEmpty():
         return labels
-    more = materialize(late_links(left.select("id", "comp").distinct(), lanes, sets, near), "more")
+    tied = tied_members(materialize(rare_shingles(left.select("id", "comp").distinct(), sets, near), "rare"))
+    facts = wanted.select("id", "lanes", "bands")
+    dealt = materialize(deal(materialize(left.join(tied, "id"), "bucketed"), facts), "blocks")
+    if dealt.isEmpty():
+        return labels
+    more = materialize(late_links(materialize(meetings(dealt, near), "met"), facts, sets, near), "more")
     if more.isEmpty():
         return labels
     joined = components(more).select(F.col("node").alias("low"), F.col("comp").alias("lower"))

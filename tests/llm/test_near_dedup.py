@@ -79,10 +79,10 @@ def near_families(seed=9, families=6, members=25, words=150):
     return rows
 
 
-@pytest.mark.parametrize("block", [N.BLOCK, 4])
+@pytest.mark.parametrize("block", [N.BLOCK, 8])
 def test_several_blocks_lose_no_link(spark, monkeypatch, block):
     monkeypatch.setattr(N, "BLOCK", block)
-    monkeypatch.setattr(N, "GROUP_ROWS", 16 * block)
+    monkeypatch.setattr(N, "GROUP_ROWS", 4 * block)
     monkeypatch.setattr(N, "SET_BYTES", 1000 * block)
     monkeypatch.setattr(N, "PAIRS", 50 * block)
     near = N.Near(3, 85)
@@ -92,23 +92,29 @@ def test_several_blocks_lose_no_link(spark, monkeypatch, block):
     assert run(spark, rows, near) == {i: (n, c, i == c) for i, (n, c) in want.items()}
 
 
-def test_members_are_compared_through_their_rare_shingles(spark):
-    """All pairs that reach the threshold meet, whatever their bands."""
+def test_similar_members_are_tied_and_met(spark):
+    """Whatever components they are in, all pairs that reach the threshold are in one cluster, and survive in one bucket."""
+    from pyspark.sql import functions as F
+
+    from helpers import shingles
+
     near = N.Near(3, 85)
     rows = near_families(families=4, members=12) + [(100_000 + i, t) for i, t in around_a_passage(20, 30, 100)]
     docs = documents(spark, rows)
-    found = N.features(docs, near)
-    ids = found.select(N.F.col("doc_id").alias("id"), "digest")
-    sets = N.full_sets(docs, ids, near)
-    rare = N.rare_shingles(ids.select("id", N.F.col("id").alias("comp")), sets, near)
-    lanes = found.select(N.F.col("doc_id").alias("id"), "lanes")
-    met = {(r["a"], r["b"]) for r in N.meetings(rare, lanes, near).collect()}
-    from helpers import shingles
-
+    found = N.materialize(N.features(docs, near).withColumn("id", F.col("doc_id")), "found")
+    sets = N.full_sets(docs, found.select("id", "digest"), near)
+    cluster = {r["id"]: r["cluster"] for r in N.tied_members(N.rare_shingles(found.select("id", F.col("id").alias("comp")), sets, near)).collect()}
     held = {i: shingles(t, 3) for i, t in rows}
     similar = {(a, b) for a in held for b in held if a < b and 100 * len(held[a] & held[b]) >= 85 * len(held[a] | held[b])}
-    assert similar and similar <= met
-    assert {tuple(r) for r in N.verify(spark.createDataFrame(sorted(met), "a long, b long"), sets, near).collect()} == similar
+    assert similar and all(cluster[a] == cluster[b] for a, b in similar)
+    assert not any(i >= 100_000 for i in cluster)
+    everyone = found.select(F.explode("bands").alias("key"), F.lit(0).cast("long").alias("cluster"), "id", F.col("id").alias("comp"))
+    table = N.deal(everyone, found.select("id", "lanes", "bands")).toArrow()
+    ids = table["id"].to_pylist()
+    met = [tuple(sorted((ids[p], ids[q]))) for x, y, _ in N.near_pairs(table, near.least_matches()) for p, q in zip(x, y, strict=True)]
+    assert len(met) == len(set(met)) and similar <= set(met)
+    pairs = spark.createDataFrame(sorted(met), "a long, b long")
+    assert {tuple(r) for r in N.verify(pairs, sets, near).collect()} == similar
 
 
 @pytest.mark.parametrize("n", [40, 160])
