@@ -9,16 +9,17 @@ automaton accepts exactly the token sequences that merging produces, one for
 each word, so encoding a word is to find its only accepting path.
 
 It is compiled merge by merge when a vocabulary is loaded, into two tables: the
-state that each label leads to, and for each state a row of bits, one for each
-label, that says which arcs it has. Rows of states that no arc leads to any more
-are used again, so the table has a row for each state that is left in the end.
+state that each label leads to, and for each state a row that says of each label
+whether the state has its arc. Rows are kept by the places at which that changes.
+Rows of states that no arc leads to any more are used again, so the table has a
+row for each state that is left in the end.
 
 A gadget's ``c`` arcs go by the ``a`` arcs of every state, also of states that
 are copied later. Labels are therefore numbered so that those which start with
 the same label, at any number of merges back, follow it in the order of their
 making: a state that loses its ``b`` arc when ``c`` is made loses with it the
 arcs that would be made from ``b`` from then on, and these are the end of the
-numbers that follow ``b``. One copied row with one stretch of bits cleared is
+numbers that follow ``b``. One copied row with one stretch of arcs taken out is
 then all that a gadget takes.
 """
 
@@ -26,6 +27,8 @@ from __future__ import annotations
 
 import json
 import unicodedata
+from array import array
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterable, Iterator
 from itertools import chain
 
@@ -43,7 +46,7 @@ PRE_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\p{White_Space}\p{L}\p{
 #: Characters whose class depends on the version of Unicode; texts with any are split by the format's own splitter.
 RARE = r"[^\x00-\u0377\u2000-\u2027\u202f-\u205e\u20ac]"
 #: Entries of the word table in a Python worker; a full table starts anew.
-TABLE_ENTRIES = 400_000
+TABLE_ENTRIES = 200_000
 #: Ids that a task holds for the rows it hands on at a time.
 PART_IDS = 300_000
 #: Longer words are encoded each time they occur.
@@ -57,18 +60,12 @@ def byte_symbols() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
-def _clear(row: np.ndarray, first: int, end: int) -> None:
-    """Set bits from ``first`` up to ``end`` of a row to 0."""
+def _clear(row: array, first: int, end: int) -> None:
+    """Take the labels from ``first`` up to ``end`` out of a row; every second place of a row is where labels are there again."""
     if first >= end:
         return
-    a, b = first >> 3, end >> 3
-    if a == b:
-        row[a] &= 255 ^ ((1 << (end & 7)) - (1 << (first & 7)))
-        return
-    row[a] &= (1 << (first & 7)) - 1
-    row[a + 1 : b] = 0
-    if end & 7:
-        row[b] &= 255 ^ ((1 << (end & 7)) - 1)
+    i, j = bisect_left(row, first), bisect_right(row, end)
+    row[i:j] = array("I", ([] if i & 1 else [first]) + ([] if j & 1 else [end]))
 
 
 class TokenAutomaton:
@@ -125,15 +122,17 @@ class TokenAutomaton:
         self._split_special = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self._split = regex.compile(PRE_SPLIT)
         self._rare = regex.compile(RARE)
-        self._spec, self._splitter = spec, None
+        # The format's own splitter, for rare characters, needs no vocabulary.
+        self._split_spec = {"model": {"type": "BPE", "vocab": {}, "merges": []}} | {k: spec.get(k) for k in ("normalizer", "pre_tokenizer")}
+        self._splitter = None
         self._from_byte = {ord(c): chr(b) for c, b in back.items()}
 
     def _compile(self, merges: list[tuple[int, int, int]], labels: list[int]) -> tuple[int, int] | None:
         """The tables of the automaton, one gadget after the other; or the first merge that is never applied.
 
         ``place`` numbers the labels, ``target`` has the row of the state that a
-        label leads to, and bit ``place`` of row ``target`` of ``table`` says
-        whether that state has an arc of the label.
+        label leads to, and row ``target`` of ``table`` has the places from which
+        on that state lacks arcs and, by turns, has them again.
         """
         made = {c: rank for rank, (_, _, c) in enumerate(merges)}
         starting: dict[int, list[int]] = {}  # label to those made from it as their first part, in order
@@ -150,38 +149,32 @@ class TokenAutomaton:
             place[i] = len(place)
             todo.append((i, True))
             todo += [(c, False) for c in reversed(starting.get(i, ()))]
-        width = (len(place) + 7) // 8
-        table = np.empty((max(1, len(labels)), width), np.uint8)  # memory is taken row by row, as rows are written
-        table[0] = 255
+        table = [array("I")]
         target = {i: 0 for i in labels if i not in made}
-        arrivals = [len(target)] + [0] * (len(table) - 1)
-        used = 1
+        arrivals = [len(target)]
         for rank, (a, b, c) in enumerate(merges):
             state, first = target[a], place[b]
-            if not table[state, first >> 3] >> (first & 7) & 1:
+            if bisect_right(table[state], first) & 1:
                 return a, b
             target[c] = target[b]
             arrivals[target[b]] += 1
             copy = state
             if arrivals[state] > 1:  # else nothing but the arcs that move to the copy leads to the state, which becomes the copy
-                copy, used = used, used + 1
-                table[copy] = table[state]
+                copy = target[a] = len(table)
+                table.append(table[state][:])
                 arrivals[state] -= 1
-                arrivals[copy] = 1
-                target[a] = copy
+                arrivals.append(1)
             row = table[copy]
-            row[first >> 3] &= 255 ^ (1 << (first & 7))
+            _clear(row, first, first + 1)
             # What b starts from this merge on; a label made by an earlier merge has its arcs already.
             later = next((place[x] for x in starting.get(b, ()) if made[x] >= rank), end[b])
             _clear(row, later, end[b])
-        self.place, self.target, self.width, self.n_states = place, target, width, used
-        self.table = table[:used].tobytes()
+        self.place, self.target, self.table, self.n_states = place, target, table, len(table)
         return None
 
     def arc(self, last: int, token: int) -> bool:
         """Whether the state after ``last`` has an arc labelled ``token``."""
-        bit = self.place[token]
-        return bool(self.table[self.target[last] * self.width + (bit >> 3)] >> (bit & 7) & 1)
+        return not bisect_right(self.table[self.target[last]], self.place[token]) & 1
 
     def encode_symbols(self, s: str) -> tuple[int, ...]:
         """The accepting path over ``s``, longest arcs tried first.
@@ -242,7 +235,7 @@ class TokenAutomaton:
         if self._splitter is None:
             from tokenizers import Tokenizer
 
-            self._splitter = Tokenizer.from_str(json.dumps(self._spec))
+            self._splitter = Tokenizer.from_str(json.dumps(self._split_spec))
         for w, _ in self._splitter.pre_tokenizer.pre_tokenize_str(self._splitter.normalizer.normalize_str(text)):
             s = w.translate(self._from_byte)
             yield self.encode_symbols(s[:-1] + chr(ord(s[-1]) + 256) if self.suffix else s)
