@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 pytest.importorskip("tokenizers")
 P = pytest.importorskip("public_tokenizers")
@@ -129,6 +130,16 @@ def test_encode_decode_and_digests(spark, reference):
         assert r["decoded_sha256"] == hashlib.sha256(reference.decode(want[text], skip_special_tokens=False).encode()).hexdigest()
 
 
+def test_decoding_in_the_same_pass(spark, reference):
+    rows = [(1, "Ünïcode words, 12 of them"), (2, None), (3, ""), (4, "ab " * 30_000), (4, "ab " * 30_000), (None, "x 😀 y")]
+    docs = documents(spark, rows).withColumn("decoded", F.lit("clash")).withColumn("token_ids", F.lit("clash"))
+    one = bpe.encode(docs, PATH, decoded_col="decoded")
+    two = bpe.decode(bpe.encode(docs.drop("decoded"), PATH), PATH)
+    assert one.columns == two.columns
+    assert sorted(map(tuple, one.collect()), key=repr) == sorted(map(tuple, two.collect()), key=repr)
+    assert bpe.encode(documents(spark, []), PATH, decoded_col="decoded").collect() == []
+
+
 def test_empty_table(spark):
     docs = documents(spark, [])
     assert bpe.encode(docs, PATH).count() == 0 == bpe.digests(docs, PATH).count()
