@@ -49,9 +49,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, their number, and SHA-256 of the text that the ids decode to."""
-    ids = bpe.encode(docs.select("doc_id", "lang", "source", "text"), vocabulary()).drop("text")
-    decoded = bpe.decode(ids, vocabulary())
-    return decoded.select("doc_id", "lang", "source", "token_ids", F.size("token_ids").cast("long").alias("n_tokens"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    coded = bpe.encode(docs.select("doc_id", "lang", "source", "text"), vocabulary(), decoded_col="decoded")
+    return coded.select("doc_id", "lang", "source", "token_ids", F.size("token_ids").cast("long").alias("n_tokens"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 STAGES = [
