@@ -11,8 +11,11 @@
    bytes. Only those anchors' segments are read again, one of each kind; each
    task puts the suffixes of some anchors' segments in order (``suffix_array``),
    and equal windows stand side by side.
-4. An anchor with more different segments than a task should hold has its
-   windows counted by digest instead, so no group has to fit into a task.
+4. An anchor with more different segments than a task should hold is divided:
+   each half of the distances between a window and its anchor has a larger part
+   of the text in common, whose hash is the new anchor. What was too large falls
+   apart into equal, single and few segments, at the latest when a segment is
+   one window. So no group has to fit into a task.
 5. Spans go back to their texts, and the texts give up the bytes.
 """
 
@@ -27,14 +30,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folioforge.llm.common import materialize, ship
+from folioforge.llm.common import materialize, shuffle_partitions, ship
 from folioforge.llm.suffix_array import suffix_array
 
 #: Bytes of the grams whose hashes are anchors; shorter ones repeat by chance more often, longer ones make shorter segments.
 GRAM = 64
 #: Windows of a text that are looked at together.
 CHUNK = 1 << 16
-#: Bytes of an anchor's different segments that a task puts in order; beyond it windows are counted by digest.
+#: Bytes of an anchor's different segments that a task puts in order; beyond it they are divided.
 GROUP_BYTES = 1 << 17
 #: Bits of the membership map of anchors that are read again, for each of them, and in all, at most (16 MB are broadcast).
 MAP_BITS_EACH = 16
@@ -45,7 +48,7 @@ _SEGMENT = "key long, id binary, start long, windows int, kind binary, again boo
 
 @dataclass(frozen=True)
 class Repeats:
-    """Strings of ``length`` bytes; ``group_bytes`` bounds what a task puts in order for one anchor."""
+    """Strings of ``length`` bytes; ``group_bytes`` bounds what a task puts in order for one anchor, before it is divided."""
 
     length: int = 400
     group_bytes: int = GROUP_BYTES
@@ -247,7 +250,7 @@ def equal_windows(pieces: list[bytes], anchors: list[int], length: int) -> list[
 
 
 def _runs(mask: np.ndarray) -> list[tuple[int, int]]:
-    edges = np.flatnonzero(np.diff(np.concatenate([[0], mask.view(np.int8), [0]])))
+    edges = np.flatnonzero(np.diff(np.concatenate([[0], mask.astype(np.int8), [0]])))
     return list(zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True))
 
 
@@ -275,28 +278,100 @@ def _ordered(pieces: DataFrame, rule: Repeats) -> DataFrame:
     def found(rows: list[tuple[int, bytes, bytes, int]]) -> pa.RecordBatch:
         # Where an anchor is not unique in one of its segments, none of them may rely on its place.
         whole = {key for key, _, _, anchor in rows if anchor < 0}
-        masks = equal_windows([r[2] for r in rows], [-1 if r[0] in whole else r[3] for r in rows], rule.length)
-        out = [(key, kind, a, b) for (key, kind, _, _), mask in zip(rows, masks, strict=True) for a, b in _runs(mask)]
+        # What precedes the anchors is put in order; of a key's segments, read backwards where that is shorter.
+        surplus: dict[int, int] = {}
+        for key, _, piece, anchor in rows:
+            surplus[key] = surplus.get(key, 0) + 2 * anchor + rule.gram - len(piece)
+        turned = {key for key, n in surplus.items() if n > 0} - whole
+        out = []
+        # Apart from each other: a segment read backwards may be like another key's read forwards.
+        for back in (False, True):
+            some = [r for r in rows if (r[0] in turned) == back]
+            pieces = [piece[::-1] if back else piece for _, _, piece, _ in some]
+            anchors = [-1 if key in whole else len(piece) - rule.gram - anchor if back else anchor for key, _, piece, anchor in some]
+            masks = equal_windows(pieces, anchors, rule.length) if some else []
+            out += [(key, kind, a, b) for (key, kind, _, _), mask in zip(some, masks, strict=True) for a, b in _runs(mask[::-1] if back else mask)]
         columns = list(zip(*out, strict=True)) or [(), (), (), ()]
         return pa.record_batch([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.binary(), pa.int32(), pa.int32()), strict=True)], names=["key", "kind", "low", "high"])
 
-    return pieces.repartition("key").sortWithinPartitions("key").mapInArrow(sort, _FOUND)
+    # The work is in the tasks, not in the bytes that they read: they are not to be made fewer.
+    return pieces.repartition(shuffle_partitions(pieces.sparkSession), "key").sortWithinPartitions("key").mapInArrow(sort, _FOUND)
 
 
-def _counted(pieces: DataFrame, rule: Repeats) -> DataFrame:
-    """What ``_ordered`` gives, by counting digests of windows: for keys with more segments than a task should hold."""
+_PART = pa.schema([("key", pa.int64()), ("kind", pa.binary()), ("piece", pa.binary()), ("anchor", pa.int32()), ("windows", pa.int32()), ("near", pa.int32()), ("far", pa.int32()), ("of_key", pa.int64()), ("of_kind", pa.binary()), ("shift", pa.int32())])
+_PARTS = "key long, kind binary, piece binary, anchor int, windows int, near int, far int, of_key long, of_kind binary, shift int"
+
+
+def _halves(parts: DataFrame, rule: Repeats) -> DataFrame:
+    """Both halves of each part, those without windows left out.
+
+    A part holds the windows of a segment whose distance to their anchor, the
+    first at or after their start, is ``near`` or more and below ``far``.
+    """
     length = rule.length
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for key, kind, piece in zip(batch["key"].to_pylist(), batch["kind"].to_pylist(), batch["piece"].to_pylist(), strict=True):
-                n = len(piece) - length + 1
-                digests = [_kind(piece[i : i + length]) for i in range(n)]
-                yield pa.record_batch([pa.array([key] * n, pa.int64()), pa.array([kind] * n, pa.binary()), pa.array(range(n), pa.int32()), pa.array(digests, pa.binary())], names=["key", "kind", "low", "window"])
+            out = []
+            for r in batch.to_pylist():
+                middle, q, piece = (r["near"] + r["far"]) // 2, r["anchor"], r["piece"]
+                for near, far in ((r["near"], middle), (middle, r["far"])):
+                    low, high = max(0, q - far + 1), min(r["windows"], q - near + 1)
+                    if near < far and low < high:
+                        half, shared = piece[low : high + length - 1], piece[q - near : q - far + 1 + length]
+                        key = hashlib.sha256(b"%d %d %d " % (r["key"], near, far) + shared).digest()[:8]
+                        out.append((int.from_bytes(key, "little", signed=True), _kind(half), half, q - low, high - low, near, far, r["of_key"], r["of_kind"], r["shift"] + low))
+            columns = list(zip(*out, strict=True)) or [()] * len(_PART)
+            yield pa.record_batch([pa.array(c, f.type) for c, f in zip(columns, _PART, strict=True)], schema=_PART)
+
+    return parts.mapInArrow(cut, _PARTS)
+
+
+def _whole_parts(pieces: DataFrame, rule: Repeats) -> DataFrame:
+    """Segments as parts with all distances; where the anchor occurs more than once, one for each place."""
+    length = rule.length
 
-    windows = materialize(pieces.mapInArrow(cut, "key long, kind binary, low int, window binary"), "windows")
-    often = windows.groupBy("window").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("window")
-    return windows.join(often, "window", "left_semi").select("key", "kind", "low", (F.col("low") + 1).alias("high"))
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        finder = Anchors(rule)
+        for batch in batches:
+            out = []
+            for r in batch.to_pylist():
+                piece, windows = r["piece"], len(r["piece"]) - length + 1
+                places = [r["anchor"]]
+                if r["anchor"] < 0:
+                    places = np.flatnonzero(finder.hashes(np.frombuffer(piece, np.uint8)).view(np.int64) == r["key"]).tolist()
+                low = 0
+                for q in places:
+                    high = min(windows, q + 1)
+                    if low < high:
+                        out.append((r["key"], r["kind"], piece[low : high + length - 1], q - low, high - low, 0, finder.width, r["key"], r["kind"], low))
+                    low = max(low, high)
+            columns = list(zip(*out, strict=True)) or [()] * len(_PART)
+            yield pa.record_batch([pa.array(c, f.type) for c, f in zip(columns, _PART, strict=True)], schema=_PART)
+
+    return pieces.mapInArrow(cut, _PARTS)
+
+
+def _divided(pieces: DataFrame, rule: Repeats) -> DataFrame:
+    """What ``_ordered`` gives, for keys with more segments than a task should hold; each round halves the distances."""
+    out, parts, left = None, materialize(_whole_parts(pieces, rule), "parts"), (rule.length - rule.gram + 1).bit_length() + 1
+    while left and not parts.isEmpty():
+        left -= 1
+        parts = materialize(_halves(parts, rule), "parts")
+        one = F.count(F.lit(1))
+        # One part of each kind goes on; all places of those that occur again are repeats.
+        kinds = materialize(parts.groupBy("key", "kind").agg(one.alias("times"), F.first(F.struct(*parts.columns[2:])).alias("part")).select("key", "kind", "times", "part.*"), "kinds")
+        keys = kinds.groupBy("key").agg(one.alias("kinds"), F.count_if(F.col("times") == 1).alias("single"), F.sum(F.octet_length("piece")).alias("bytes"))
+        wanted = keys.where("single > 0 AND kinds > 1").select("key", (F.col("bytes") > rule.group_bytes).alias("large"))
+        more = materialize(kinds.join(wanted, "key"), "wanted")
+        again = parts.join(kinds.where("times > 1").select("key", "kind"), ["key", "kind"], "left_semi").select("of_key", "of_kind", F.col("shift").alias("low"), (F.col("shift") + F.col("windows")).alias("high"))
+        few = more.where("NOT large")
+        sorted_few = _ordered(few.select("key", "kind", "piece", "anchor"), rule).join(few.select("key", "kind", "of_key", "of_kind", "shift"), ["key", "kind"])
+        rows = again.unionByName(sorted_few.select("of_key", "of_kind", (F.col("shift") + F.col("low")).alias("low"), (F.col("shift") + F.col("high")).alias("high")))
+        out = rows if out is None else out.unionByName(rows)
+        parts = more.where("large").select(*parts.columns)
+    out = out if out is not None else parts.select("of_key", "of_kind", F.col("shift").alias("low"), F.col("windows").alias("high"))
+    return out.select(F.col("of_key").alias("key"), F.col("of_kind").alias("kind"), "low", "high")
 
 
 def repeated_spans(docs: DataFrame, rule: Repeats = Repeats()) -> DataFrame:
@@ -310,7 +385,7 @@ def repeated_spans(docs: DataFrame, rule: Repeats = Repeats()) -> DataFrame:
     keys = kinds.groupBy("key").agg(one.alias("kinds"), F.count_if(F.col("times") == 1).alias("single"), F.max("again").alias("again"), size.alias("bytes"))
     wanted = materialize(keys.where("single > 0 AND (kinds > 1 OR again)").select("key", (F.col("bytes") > rule.group_bytes).alias("large")), "anchors")
     pieces = materialize(_bytes_of(docs, wanted, rule).join(wanted, "key"), "pieces")
-    found = _ordered(pieces.where("NOT large").drop("large"), rule).unionByName(_counted(pieces.where("large").drop("large"), rule))
+    found = _ordered(pieces.where("NOT large").drop("large"), rule).unionByName(_divided(pieces.where("large").drop("large"), rule))
     single = kinds.where("times = 1").select("key", "kind", "at")
     last = rule.length - 1
     parts = found.join(single, ["key", "kind"]).select("at.id", (F.col("at.start") + F.col("low")).alias("low"), (F.col("at.start") + F.col("high") + last).alias("high"))
