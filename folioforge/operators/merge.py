@@ -63,8 +63,8 @@ def flag_languages(books: DataFrame, allowed: Sequence[str]) -> DataFrame:
     return books.withColumn("is_deleted", F.col("is_deleted") | ~F.col("lang").isin(*allowed))
 
 
-def assign_ids(merged: DataFrame, order: Sequence[str]) -> DataFrame:
-    """Ids for rows that have none: after the largest, in the order of ``order``. Old ids never change.
+def assign_ids(merged: DataFrame, order: Sequence[str], top: int | None = None) -> DataFrame:
+    """Ids for rows that have none: after the largest, which is ``top`` if that is known, in the order of ``order``. Old ids never change.
 
     New rows are sorted by ranges and written with their place in the range;
     the sizes of the ranges, one number each, give the offsets. So no task sees
@@ -74,7 +74,8 @@ def assign_ids(merged: DataFrame, order: Sequence[str]) -> DataFrame:
     old, new = merged.where("id IS NOT NULL"), merged.where("id IS NULL").drop("id")
     if new.isEmpty():
         return old
-    top = old.agg(F.max("id")).first()[0] or 0
+    if top is None:
+        top = old.agg(F.max("id")).first()[0] or 0
     place = F.monotonically_increasing_id()
     placed = new.repartitionByRange(*order).sortWithinPartitions(*order).withColumns({"_part": F.shiftright(place, 33), "_at": place.bitwiseAND(F.lit((1 << 33) - 1))})
     placed = materialize(placed, "placed")

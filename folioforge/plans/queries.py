@@ -7,7 +7,7 @@ rules that both sides state.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 import pandas as pd
@@ -20,9 +20,10 @@ from folioforge.operators.gate import gate_counts, passes
 from folioforge.operators.merge import assign_ids, flag_languages, latest, merge_entity, merge_payload, resolve, sync_links, update_only, upsert
 from folioforge.plans.catalogue import ENTITIES as ENTITY_TABLES
 from folioforge.plans.catalogue import LINKS, PAYLOADS, merge_catalogue
-from folioforge.plans.spec import CATALOGUE, ENTITIES
-from folioforge.plans.update import ABANDONED, Staged, StageFailed, repair_runs, totals
+from folioforge.plans.spec import CATALOGUE, ENTITIES, Entity
+from folioforge.plans.update import ABANDONED, Staged, StageFailed, Updater, repair_runs, totals
 from folioforge.session import materialize, scratch_path, ship, together
+from folioforge.sources import snapshot
 from folioforge.sources.dump import good_rows, read_dump, skip_report
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -450,10 +451,10 @@ def _joined(columns: Sequence[str], cast: str) -> str:
     return "concat_ws('|', " + ", ".join(f"coalesce({cast.format(c)}, '~')" for c in columns) + ")"
 
 
-def _contents_sql() -> str:
+def _contents_sql(staged: Mapping[str, tuple[str, str, str, str]] = STAGED) -> str:
     """What the tables hold after two runs, by upstream ids, from set operations on both snapshots."""
     ctes, parts = [], []
-    for name, (columns, table, *rows) in STAGED.items():
+    for name, (columns, table, *rows) in staged.items():
         for run in (1, 2):
             ctes.append(f"{name}{run} AS (SELECT {columns.replace('{run}', str(run))} FROM {table} WHERE {rows[run - 1]})")
     for name, (table, values) in ENTITY_TABLES.items():
@@ -479,7 +480,10 @@ def _contents_sql() -> str:
 @query(_contents_sql())
 def merged_contents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What all ten tables hold after two runs: local ids resolved back to upstream ones, and a digest of the values."""
-    tables = _twice(spark, sf_dir)
+    return _contents(_twice(spark, sf_dir))
+
+
+def _contents(tables: Mapping[str, DataFrame]) -> DataFrame:
     upstream = {n: tables[n].select(F.col("id").alias(f"{n}_id"), F.col("remote_id").alias(f"{n}_remote")) for n in ENTITY_TABLES}
     parts = []
 
@@ -703,3 +707,44 @@ def dump_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     found = together({name: lambda name=name: read(name) for name in DUMPED})
     return reduce(DataFrame.unionByName, found.values())
+
+
+# ---- whole runs -------------------------------------------------------------
+
+#: As ``STAGED``, with texts that the cleaning of annotations changes in ways that SQL can state.
+PUBLISHED = STAGED | {
+    "staging_book_annotations": ("doc_id::INT AS book_remote_id, source AS title, CASE WHEN doc_id % 13 <> 0 THEN text END AS text, doc_id AS _ord", "(SELECT * REPLACE (" + _cleaned_sql("text", ()) + " AS text) FROM documents)", "doc_id % 4 <> 0", "doc_id % 4 <> 1"),
+    "staging_author_annotations": ("page_id::INT AS author_remote_id, 'page' AS title, translate(url, '&', '-') AS text, page_id AS _ord", "pages", "page_id % 4 <> 0", "page_id % 4 <> 1"),
+}
+
+
+def _dump_snapshot(spark: SparkSession, sf_dir: str, run: int) -> dict[str, str]:
+    """The snapshot of a run as dump files of all twelve entities."""
+
+    def written(entity: Entity) -> str:
+        columns, table, *rows = PUBLISHED[entity.table]
+        source = _t(spark, sf_dir, "documents").withColumn("text", _marked(F.col("text"), ())) if "documents" in table else _t(spark, sf_dir, table)
+        staged = source.where(rows[run - 1]).selectExpr(*_split(columns.replace("{run}", str(run)).replace("VARCHAR", "STRING")))
+        literals = [F.lit("0")] * (max(f.position for f in entity.fields) + 1)
+        for f in entity.fields:
+            if f.kind == "date":
+                value = F.date_format(f.name, "''yyyy-MM-dd HH:mm:ss''")
+            elif f.kind == "flag":
+                value = F.when(F.col(f.name), "'1'").otherwise("'0'")
+            else:
+                value = F.coalesce(_literal(f.name), F.lit("NULL")) if f.kind.startswith("text") else F.col(f.name).cast("string")
+            literals[f.position] = value
+        return _dump(staged, F.concat(F.lit("("), F.concat_ws(",", *literals), F.lit(")")), F.col("_ord"), spark)
+
+    return together({name: lambda e=e: written(e) for name, e in ENTITIES.items()})
+
+
+@query(_contents_sql(PUBLISHED))
+def published_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs of the updater over dump files of all entities, with another source's run between them; what the published catalogue holds of the first source."""
+    root = scratch_path(spark, "catalogue")
+    snapshot.ensure_layout(spark, root, {1: "main", 2: "other"})
+    first = _dump_snapshot(spark, sf_dir, 1)
+    for source, files in (("main", first), ("other", first), ("main", _dump_snapshot(spark, sf_dir, 2))):
+        Updater(spark, root, source, ["ru", "be"]).run(files)
+    return _contents(snapshot.read_catalogue(spark, root, source=1))
