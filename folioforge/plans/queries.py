@@ -577,12 +577,13 @@ def _cleaned_sql(text: str, marks: Sequence[tuple[str, str, str]]) -> str:
 
 @query(f"SELECT doc_id, sha256({_cleaned_sql('text', MARKUP)}) AS text_sha256 FROM documents")
 def annotation_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _t(spark, sf_dir, "documents").select("doc_id", F.sha2(X.annotation_text(_marked(F.col("text"), MARKUP)), 256).alias("text_sha256"))
+    rows = _t(spark, sf_dir, "documents").select("doc_id", _marked(F.col("text"), MARKUP).alias("text"))
+    return X.clean_annotations(rows, "text").select("doc_id", F.sha2("text", 256).alias("text_sha256"))
 
 
 @query()
 def sanitize_html(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _t(spark, sf_dir, "pages").select("page_id", X.annotation_text("html").alias("text"))
+    return X.clean_annotations(_t(spark, sf_dir, "pages").select("page_id", F.col("html").alias("text")), "text")
 
 
 @query("""
