@@ -6,12 +6,16 @@ import atexit
 import os
 import shutil
 import tempfile
+import threading
 import uuid
 import zipfile
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
+from functools import partial
 from typing import TypeVar
 
+from pyspark import SparkContext, inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 T = TypeVar("T")
@@ -61,12 +65,59 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 
 def together(jobs: Mapping[str, Callable[[], T]]) -> dict[str, T]:
-    """Results of jobs that don't depend on each other, each with Spark jobs of its own at the same time."""
+    """Results of jobs that don't depend on each other, each with Spark jobs of its own at the same time.
+
+    Each job's Spark jobs are in a scheduler pool of its name, so that under fair
+    scheduling a large one does not hold up the others. What else was set for the
+    calling thread, its tags among others, holds for all of them.
+    """
+
+    def pooled(name: str, job: Callable[[], T]) -> T:
+        if context := SparkContext._active_spark_context:
+            context.setLocalProperty("spark.scheduler.pool", name)
+        return job()
+
+    session = SparkSession.getActiveSession()
+    inherit = inheritable_thread_target(session) if session else inheritable_thread_target
     with ThreadPoolExecutor(max(1, len(jobs))) as pool:
-        running = {name: pool.submit(job) for name, job in jobs.items()}
+        running = {name: pool.submit(inherit(partial(pooled, name, job))) for name, job in jobs.items()}
         return {name: job.result() for name, job in running.items()}
 
 
+class TimedOut(RuntimeError):
+    """A step took longer than it may."""
+
+
+@contextmanager
+def time_limit(spark: SparkSession, seconds: float | None, what: str) -> Iterator[None]:
+    """Cancel all Spark jobs that the block has started, in other threads too, once it takes too long; then raises ``TimedOut``. A block that ends all the same has ended well."""
+    if seconds is None:
+        yield
+        return
+    context, tag, over = spark.sparkContext, f"folioforge-{uuid.uuid4().hex}", threading.Event()
+    done = threading.Event()
+
+    def watch() -> None:
+        if not done.wait(seconds):
+            over.set()
+            # Again and again: between two jobs there is nothing to cancel.
+            while not done.wait(0.2):
+                context.cancelJobsWithTag(tag)
+
+    context.addJobTag(tag)
+    watcher = threading.Thread(target=watch, daemon=True)
+    watcher.start()
+    try:
+        yield
+    except Exception as error:
+        if over.is_set():
+            raise TimedOut(f"{what} took more than {seconds:g} seconds") from error
+        raise
+    finally:
+        done.set()
+        context.removeJobTag(tag)
+
+
 def ship(spark: SparkSession) -> SparkSession:
     """Make this package importable in Python workers, wherever they start.
 
