@@ -61,24 +61,49 @@ def source_rates(docs: DataFrame, target_weights: dict[str | None, float] | None
     return counts.select("mix_source", F.round(F.col("weight") / F.lit(float(whole["weight"])) * F.lit(size) / F.col("n"), 9).alias("mix_rate"))
 
 
+def _mixed(docs: DataFrame, names: tuple[str, str, str], target_weights: dict[str | None, float] | None, temperature: float, total: float | None, seed: str) -> DataFrame:
+    """All columns of ``docs`` and three more of the given names, which ``docs`` lacks: rate, copy and key."""
+    rate, copy, key = names
+    source, n = f"{rate}_source", f"{rate}_n"
+    rates = source_rates(docs, target_weights, temperature, total).toDF(source, rate)
+    few = rates.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES
+    joined = docs.join(F.broadcast(rates) if few else rates, docs["source"].eqNullSafe(rates[source])).drop(source)
+    counted = joined.withColumn(n, copies(F.col(rate), seed, F.col("doc_id"))).where(F.col(n) > 0)
+    many = counted.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(n)))).drop(n)
+    keyed = many.withColumn(key, unit_hash(seed + "-order", F.col("doc_id"), F.col(copy)))
+    # Rows without an id have one key; what else they hold spreads them over the tasks.
+    spread = F.when(F.col("doc_id").isNull(), F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]))
+    return keyed.repartition(F.col(key), spread).sortWithinPartitions(key, "doc_id", copy)
+
+
+def _free_names(docs: DataFrame) -> tuple[str, str, str]:
+    """Names that no column of ``docs`` begins with."""
+    prefix = "mix"
+    while any(c.lower().startswith(prefix) for c in docs.columns):
+        prefix = f"_{prefix}"
+    return f"{prefix}_rate", f"{prefix}_copy", f"{prefix}_key"
+
+
 def mix_sources(docs: DataFrame, target_weights: dict[str | None, float] | None = None, temperature: float = 0.5, total: float | None = None, seed: str = "mix") -> DataFrame:
     """Replicate documents so that sources reach their target weights, in random order.
 
     Each document comes out as often as its Poisson count says, maybe never:
     this operator samples by design. Adds mix_rate (double), mix_copy (from 1)
     and mix_key (the random key of the order); columns of these names in
-    ``docs`` are replaced. Rows go to partitions by the random key and are
-    sorted by it there, which makes the whole a random permutation.
+    ``docs`` are replaced, all others stay, whatever their names. Rows go to
+    partitions by the random key and are sorted by it there, which makes the
+    whole a random permutation.
 
     Null text, empty and very long ones are copied as they are; a null doc_id
-    is a key like any other; repeated rows get the same count each. An empty
-    table gives an empty result.
+    is a key like any other, but such rows are spread by what else they hold;
+    repeated rows get the same count each. An empty table gives an empty result.
     """
-    docs = docs.drop("mix_rate", "mix_copy", "mix_key", "mix_source")
-    rates = source_rates(docs, target_weights, temperature, total)
-    few = rates.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES
-    joined = docs.join(F.broadcast(rates) if few else rates, docs["source"].eqNullSafe(rates["mix_source"])).drop("mix_source")
-    n = copies(F.col("mix_rate"), seed, docs["doc_id"])
-    many = joined.withColumn("mix_n", n).where("mix_n > 0").withColumn("mix_copy", F.explode(F.sequence(F.lit(1), F.col("mix_n")))).drop("mix_n")
-    keyed = many.withColumn("mix_key", unit_hash(seed + "-order", F.col("doc_id"), F.col("mix_copy")))
-    return keyed.repartition(F.col("mix_key")).sortWithinPartitions("mix_key", "doc_id", "mix_copy")
+    docs = docs.drop("mix_rate", "mix_copy", "mix_key")
+    names = _free_names(docs)
+    mixed = _mixed(docs, names, target_weights, temperature, total, seed)
+    return mixed.withColumnsRenamed(dict(zip(names, ("mix_rate", "mix_copy", "mix_key"), strict=True)))
+
+
+def replicate(docs: DataFrame, target_weights: dict[str | None, float] | None = None, temperature: float = 0.5, total: float | None = None, seed: str = "mix") -> DataFrame:
+    """What ``mix_sources`` gives, with the columns of ``docs`` alone, all as they were."""
+    return _mixed(docs, _free_names(docs), target_weights, temperature, total, seed).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -67,3 +67,31 @@ def test_mean_is_the_rate(spark):
 def test_nothing_weighs_anything(spark):
     assert mixing.mix_sources(documents(spark, ROWS), {"absent": 1.0}).count() == 0
     assert mixing.mix_sources(documents(spark, [])).count() == 0
+
+
+def test_columns_with_the_operators_names(spark):
+    from pyspark.sql import functions as F
+
+    names = ("mix", "mix_n", "mix_source", "mix_rate", "mix_copy", "mix_key", "MIX_rate_n", "n", "weight")
+    df = documents(spark, ROWS)
+    for name in names:
+        df = df.withColumn(name, F.concat(F.lit(name), F.col("doc_id").cast("string")))
+    plain = Counter((r["doc_id"], r["source"], r["mix_copy"], r["mix_rate"], r["mix_key"]) for r in mixing.mix_sources(documents(spark, ROWS)).collect())
+    out = mixing.mix_sources(df).collect()
+    assert Counter((r["doc_id"], r["source"], r["mix_copy"], r["mix_rate"], r["mix_key"]) for r in out) == plain
+    assert all(r[n] == (None if r["doc_id"] is None else f"{n}{r['doc_id']}") for r in out for n in ("mix", "mix_n", "mix_source", "MIX_rate_n", "n", "weight"))
+    kept = mixing.replicate(df)
+    assert kept.columns == df.columns and kept.count() == sum(plain.values())
+    assert all(r[n] == (None if r["doc_id"] is None else f"{n}{r['doc_id']}") for r in kept.collect() for n in names)
+
+
+def test_rows_without_an_id_are_spread(spark):
+    from pyspark.sql import functions as F
+
+    df = documents(spark, [(None, f"text {i}", "en", "s") for i in range(2000)])
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sizes = [r["count"] for r in mixing.mix_sources(df, {"s": 1.0}, total=6000.0).groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert max(sizes) < 2 * sum(sizes) / 4
