@@ -44,7 +44,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources weighed by the square root of their size; a document comes out as often as its Poisson count says."""
-    return mixing.mix_sources(docs).select(*docs.columns)
+    return mixing.replicate(docs)
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
