@@ -10,7 +10,6 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,7 +21,7 @@ from folioforge.plans.catalogue import ENTITIES as ENTITY_TABLES
 from folioforge.plans.catalogue import LINKS, PAYLOADS, merge_catalogue
 from folioforge.plans.spec import CATALOGUE, ENTITIES, Entity
 from folioforge.plans.update import ABANDONED, Staged, StageFailed, Updater, repair_runs, totals
-from folioforge.session import materialize, scratch_path, ship, together
+from folioforge.session import materialize, scratch_path, together
 from folioforge.sources import snapshot
 from folioforge.sources.dump import good_rows, read_dump, skip_report
 
@@ -315,18 +314,18 @@ def gate_two_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 """)
 def run_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sources of a language as the files of a run, some of which failed."""
-    ship(spark)
     files = _t(spark, sf_dir, "documents").groupBy("lang", "source").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("doc_id") % 10 == 0).alias("skipped"))
-
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        outcomes = [Staged(r.source, None, r.n, r.skipped, error=None if r.skipped % 3 else f"{r.source} failed") for r in rows.sort_values("source").itertuples()]
+    outcomes: dict[str | None, list[Staged]] = {}
+    # A row for each file of a run, which is what the updater has, too.
+    for r in files.orderBy("source").collect():
+        outcomes.setdefault(r["lang"], []).append(Staged(r["source"], None, r["n"], r["skipped"], error=None if r["skipped"] % 3 else f"{r['source']} failed"))
+    rows = []
+    for lang, found in outcomes.items():
         try:
-            staged, skipped, error = *totals(outcomes), None
+            rows.append((lang, *totals(found), None))
         except StageFailed as failed:
-            staged, skipped, error = failed.staged, failed.skipped, str(failed)
-        return pd.DataFrame({"lang": [rows["lang"].iloc[0]], "rows_staged": [staged], "rows_skipped": [skipped], "error": [error]})
-
-    return files.groupBy("lang").applyInPandas(run, "lang string, rows_staged long, rows_skipped long, error string")
+            rows.append((lang, failed.staged, failed.skipped, str(failed)))
+    return spark.createDataFrame(rows, "lang string, rows_staged long, rows_skipped long, error string")
 
 
 #: Events as runs: errors are still running; the clock is fixed to the newest event.
