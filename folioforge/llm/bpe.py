@@ -373,6 +373,10 @@ def digests(docs: DataFrame, vocabulary: str) -> DataFrame:
     """Per document: number of tokens and SHA-256 of its ids and of the text that they decode to.
 
     Ids pass from ``TokenAutomaton.encode`` to ``decode`` inside the task, so that only digests leave it.
+    Null text counts as empty and has no tokens; texts are encoded whole, however
+    long. Every row has its answer, repeated ones the same, and a null doc_id
+    stays null. Other columns, whatever their names, are not read. An empty
+    table gives an empty one.
     """
     ship(docs.sparkSession)
     schema = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType), T.StructField("n_tokens", T.LongType()), T.StructField("ids_text", T.StringType()), T.StructField("decoded", T.StringType())])

@@ -192,7 +192,13 @@ def _count(kind: str) -> Column:
 
 
 def secret_report(docs: DataFrame) -> DataFrame:
-    """Counts and spans per document, derived from ``scan_secrets``."""
+    """Counts and spans per document, derived from ``scan_secrets``.
+
+    Null text counts as empty: counts are 0 and spans empty. Texts are scanned
+    whole, however long. Every row stays, repeated ones and those without id
+    too; spans that start together are ordered by kind. Other columns, whatever
+    their names, are not read. An empty table gives an empty one.
+    """
     found = scan_secrets(docs.select("doc_id", "text")).drop("text")
     both = ordered(F.concat("base", "extra"), CLASSES)
     return found.select(

@@ -202,5 +202,12 @@ def categories() -> dict[str, Column]:
 
 
 def toxic_report(docs: DataFrame, labels: DataFrame, fit_docs: int = FIT_DOCS) -> DataFrame:
-    """Fit the chain on ``labels`` and score all of ``docs``."""
+    """Fit the chain on ``labels`` and score all of ``docs``: doc_id, p_<category> for each category, toxic.
+
+    Null and empty texts have no words and are never flagged; long ones are
+    scored whole. Repeated rows get the same answer each; a probability equal to
+    the threshold flags. Rows without id are scored, not learned from. Other
+    columns, whatever their names, are not read. Without labelled texts every
+    probability is 0; an empty table gives an empty one.
+    """
     return score(docs, fit(docs, labels, categories(), "toxic", fit_docs), "toxic")
