@@ -1,20 +1,28 @@
 """License scans by conditional compression.
 
-Windows of a candidate block are compressed with each template as a raw
-dictionary; the template that saves most bytes against compression without one
-explains the window best. Windows and templates are ranked by that, and
-confirmed in this order: the template's wording has to be found in the window
-with few enough word differences, which are counted exactly. The search in a
-block ends as soon as exact matches explain all its cue words, so the ranking
-decides what is looked at; no template is left out before that.
+A match may differ from its template in some of the words (``TOLERANCE``), so of
+one more parts than words may differ at least one is in the text as it is. Where
+a part is, the match lies within as many words as the template has and may
+differ in: candidate blocks are the stretches of words that those add up to, and
+none that holds a match is missed. Windows of a block are compressed with each
+template as a raw dictionary; the template that saves most bytes against
+compression without one explains the window best. Places are confirmed in this
+order, by counting the word differences exactly. What is confirmed is kept as
+soon as no template that has not been looked at could agree in more words, and
+places that it covers are not looked at any more: the ranking decides how much
+there is to confirm, not what is found.
 """
 
 from __future__ import annotations
 
 import re
-from bisect import bisect_left, bisect_right
-from collections.abc import Iterator
+from bisect import bisect_left, bisect_right, insort
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
+from heapq import heappop, heappush
+from itertools import count, pairwise
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 import zstandard
@@ -52,12 +60,9 @@ TEMPLATES = {
     "cc-by-sa-4.0-notice": "Licensed under CC BY-SA 4.0.",
     "cc0-1.0-notice": "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.",
 }
-#: Words of which a notice has one; a template without any brings words of its own.
-CUE = r"licen[sc]e|copyright|permission (?:is hereby|to use)|redistribut"
 #: Word differences that a match may have, as a part of the template's words.
 TOLERANCE = 0.15
 WORD = re.compile(r"\w+")
-_CUE = re.compile(f"(?i){CUE}")
 SCHEMA = "doc_id long, license string, start int, end int, bytes_saved int, n_words int, n_different int, is_exact boolean"
 
 
@@ -65,35 +70,19 @@ def words_of(template: str) -> list[str]:
     return [w.group().lower() for w in WORD.finditer(template)]
 
 
-def cue_pattern(templates: dict[str, str]) -> str:
-    """What marks a place that may hold a notice.
+def parts_of(words: list[str]) -> list[tuple[int, list[str]]]:
+    """(place, words) of the parts of a template: one more than words may differ, so that any match holds one of them unchanged."""
+    n = int(TOLERANCE * len(words)) + 1
+    cuts = [i * len(words) // n for i in range(n + 1)]
+    return [(x, words[x:y]) for x, y in pairwise(cuts)]
 
-    Of a template without the usual cue words, one more of its words than may
-    differ are cues, the longest ones, so that any match has one of them.
-    """
-    own = set()
-    for text in templates.values():
-        if not _CUE.search(text):
-            words = words_of(text)
-            own.update(sorted(words, key=lambda w: (-len(w), w))[: int(TOLERANCE * len(words)) + 1])
-    return "(?i)" + "|".join([CUE, *[rf"\b{re.escape(w)}\b" for w in sorted(own)]])
-
-
-def blocks(text: str, most_words: int, cue: re.Pattern[str] = _CUE) -> Iterator[tuple[int, int]]:
-    """(start, end) of the parts of a text that may hold a license: around each cue, as many words to either side as a template has; parts that touch are one, up to a size, beyond which the next overlaps it."""
-    span = 12 * most_words
-    start = end = -1
-    for m in cue.finditer(text):
-        a, b = max(0, m.start() - span), min(len(text), m.end() + span)
-        if start >= 0 and a <= end and b - start <= 40 * span:
-            end = b
-            continue
-        if start >= 0:
-            yield start, end
-        # Also after a cut with all words before the cue, for the notice may begin there.
-        start, end = a, b
-    if start >= 0:
-        yield start, end
+
+def automaton(patterns: Iterable[str]) -> ahocorasick.Automaton:
+    found = ahocorasick.Automaton(ahocorasick.STORE_ANY)
+    for x in patterns:
+        found.add_word(x, x)
+    found.make_automaton()
+    return found
 
 
 def matches_by_end(words: np.ndarray, template: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -121,15 +110,59 @@ def best_match(words: np.ndarray, template: np.ndarray) -> tuple[int, int, int]:
     return int(cost[last]), int(begin[last]), last
 
 
+@dataclass(slots=True)
+class Place:
+    """Words [first, last) that may hold a match of a template, and the parts of it that are there."""
+
+    name: str
+    size: int
+    first: int
+    last: int
+    parts: list[tuple[int, int]]
+    saved: int = 0
+    gone: bool = False
+
+    def rank(self) -> tuple[int, int, str, int]:
+        return -self.saved, -self.size, self.name, self.first
+
+    def without(self, a: int, b: int) -> list[Place]:
+        """What remains to either side of [a, b), if a part is there."""
+        out = []
+        for x, y in ((self.first, min(a, self.last)), (max(b, self.first), self.last)):
+            held = [(p, q) for p, q in self.parts if x <= p and q <= y]
+            if held:
+                out.append(Place(self.name, self.size, x, y, held, self.saved))
+        return out
+
+
 class Scanner:
     def __init__(self, templates: dict[str, str]):
         self.words = {n: w for n, t in templates.items() if (w := words_of(t))}
         self.most = max(map(len, self.words.values()), default=0)
-        self.cue = re.compile(cue_pattern(templates))
+        self.allowed = {n: int(TOLERANCE * len(w)) for n, w in self.words.items()}
+        self.parts: dict[str, list[tuple[str, int, int]]] = {}
+        for n, w in self.words.items():
+            for at, part in parts_of(w):
+                self.parts.setdefault(f" {' '.join(part)} ", []).append((n, at, len(part)))
+        # One word of each part, for texts that hold none of them have no part either. Folding depends on no neighbours.
+        self.cues = automaton({max(x.split(), key=lambda w: (len(w), w)).casefold() for x in self.parts})
+        self.phrases = automaton(self.parts)
         # The same parameters with and without a dictionary, or the difference would be theirs.
         same = zstandard.ZstdCompressionParameters.from_level(3, source_size=24 * self.most)
         self.plain = zstandard.ZstdCompressor(compression_params=same)
         self.given = {n: zstandard.ZstdCompressor(compression_params=same, dict_data=zstandard.ZstdCompressionDict(" ".join(w).encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)) for n, w in self.words.items()}
+        #: Places whose wording was compared, for tests.
+        self.confirmed = 0
+
+    def may_hold(self, text: str) -> bool:
+        """Whether a text has a word that one of the parts has; a text without any has no match."""
+        folded = text.casefold()
+        for end, cue in self.cues.iter(folded) if len(self.cues) else ():
+            around = folded[max(0, end - len(cue)) : end - len(cue) + 1] + folded[end + 1 : end + 2]
+            # Of what is no word character only one sign, an iota below, becomes one when it is folded.
+            if not any((c.isalnum() and c != "\u03b9") or c == "_" for c in around):
+                return True
+        return False
 
     def windows(self, n: int) -> list[tuple[int, int]]:
         """Stretches of n words, twice as long as the longest template, each half a template on from the last: one of them holds all of a notice."""
@@ -145,84 +178,129 @@ class Scanner:
             out += [(size - len(z.compress(raw)), n, a, b) for n, z in self.given.items()]
         return sorted(out, key=lambda x: (-x[0], -len(self.words[x[1]]), x[1], x[2]))
 
-    def confirm(self, words: np.ndarray, template: np.ndarray) -> Iterator[tuple[int, int, int]]:
-        """(differences, first, last + 1) of stretches apart from each other that are near enough to the template, the fewest differences first."""
-        allowed = int(TOLERANCE * len(template))
-        if (template == -2).sum() > allowed:
-            return
-        rest, again = words.copy(), True
-        while again:
-            again, free = False, 0
-            cost, begin = matches_by_end(rest, template)
-            different = int(cost.min())
-            if different > allowed:
-                return
-            # All that are equally good and apart at once, the leftmost first.
-            for b in np.flatnonzero(cost == different).tolist():
-                a = int(begin[b])
-                if free <= a < b:
-                    yield different, a, b
-                    rest[a:b], free, again = -1, b, True
-
-    def scan_block(self, block: str) -> list[tuple[int, int, str, int, int, int]]:
-        """(bytes saved, differences, template, words, start, end) of what is confirmed in a block, overlapping hits too."""
-        spans = [(m.start(), m.end(), m.group().lower()) for m in WORD.finditer(block)]
-        starts, ends = [s[0] for s in spans], [s[1] for s in spans]
+    def places(self, words: list[str]) -> list[Place]:
+        """Where parts of templates are, by their first word; no match lies elsewhere."""
+        at = np.cumsum([1, *[len(w) + 1 for w in words]])
+        found: dict[str, list[tuple[int, int, int]]] = {}
+        for end, part in self.phrases.iter(f" {' '.join(words)} ") if len(self.phrases) else ():
+            p = int(np.searchsorted(at, end - len(part) + 2))
+            for n, place, size in self.parts[part]:
+                found.setdefault(n, []).append((p - place, p, p + size))
+        out = []
+        for n, hits in found.items():
+            size, allowed, group = len(self.words[n]), self.allowed[n], []
+            hits.sort()
+            for i, hit in enumerate(hits):
+                group.append(hit)
+                # Together are parts that one match could hold, so that a text full of notices is not one place.
+                if i + 1 == len(hits) or hits[i + 1][0] > group[0][0] + 2 * allowed:
+                    out.append(Place(n, size, max(0, group[0][0] - allowed), min(len(words), hit[0] + size + allowed), [(p, q) for _, p, q in group]))
+                    group = []
+        return sorted(out, key=lambda x: (x.first, x.last, x.name))
+
+    def confirm(self, words: np.ndarray, template: np.ndarray, allowed: int) -> tuple[int, int, int] | None:
+        """(differences, first, last + 1) of the stretch that is nearest to the template, if it is near enough."""
+        self.confirmed += 1
+        inside = np.where(np.isin(template, words), template, -2)
+        if (inside == -2).sum() > allowed:
+            return None
+        different, first, last = best_match(words, inside)
+        return (different, first, last) if different <= allowed and first < last else None
+
+    def scan_block(self, words: list[str], places: list[Place]) -> list[tuple[str, int, int, int, int, int]]:
+        """(template, first, last + 1, bytes saved, words, differences) of the matches in a block.
+
+        The match with most words that agree, less those that don't, comes first
+        and takes its words; then the next of what is left.
+        """
+        start, end = places[0].first, max(x.last for x in places)
         codes: dict[str, int] = {}
-        words = np.array([codes.setdefault(w, len(codes)) for _, _, w in spans], np.int64)
-        coded = {n: np.array([codes.get(w, -2) for w in t], np.int64) for n, t in self.words.items()}
-        # Word numbers of the cues that no exact match explains yet.
-        cues = {max(0, bisect_right(starts, m.start()) - 1) for m in self.cue.finditer(block)}
-        hits, seen = [], set()
-        for saved, name, a, b in self.reductions([w for _, _, w in spans]):
-            if not cues:
-                break
-            # A window all of whose cues are explained, and that has cues, has nothing more to show.
-            if not any(a <= c < b for c in cues):
+        coded = np.array([codes.setdefault(w, len(codes)) for w in words[start:end]], np.int64)
+        templates = {n: np.array([codes.get(w, -2) for w in self.words[n]], np.int64) for n in {x.name for x in places}}
+        saved: dict[str, list[tuple[int, int, int]]] = {}
+        for bytes_saved, n, a, b in self.reductions(words[start:end]):
+            if n in templates:
+                saved.setdefault(n, []).append((a, b, bytes_saved))
+        firsts: dict[str, list[int]] = {}
+        for n, of in saved.items():
+            of.sort()
+            firsts[n] = [a for a, _, _ in of]
+        # Places by the number of words that could agree, in each the one that the compression ranks highest on top.
+        open_: dict[int, list[tuple[tuple[int, int, str, int], int, Place]]] = {}
+        hits: list[tuple[int, int, int, int, int, str, int, Place]] = []
+        near: list[tuple[int, int, Place]] = []
+        number = count()
+
+        def put(x: Place) -> None:
+            heappush(open_.setdefault(x.size, []), (x.rank(), next(number), x))
+            insort(near, (x.first, next(number), x))
+
+        for x in places:
+            of, f = saved[x.name], x.first - start
+            k = bisect_right(firsts[x.name], f)
+            x.saved = max(s for a, b, s in of[max(0, k - 5) : k] if f < b)
+            put(x)
+        reach, out = max(x.last - x.first for x in places), []
+        while True:
+            while hits and hits[0][-1].gone:
+                heappop(hits)
+            for of in open_.values():
+                while of and of[0][2].gone:
+                    heappop(of)
+            # Only a template with as many words as agree in the best match could do better.
+            rivals = [n for n, of in open_.items() if of and (not hits or n >= -hits[0][0])]
+            if rivals:
+                x = heappop(open_[min(rivals, key=lambda n: open_[n][0][:2])])[2]
+                m = self.confirm(coded[x.first - start : x.last - start], templates[x.name], self.allowed[x.name])
+                if m:
+                    heappush(hits, (2 * m[0] - x.size, m[0], -x.saved, x.first + m[1], x.first + m[2], x.name, next(number), x))
+                else:
+                    x.gone = True
                 continue
-            template = coded[name]
-            inside = np.where(np.isin(template, words[a:b]), template, -2)
-            for different, first, last in self.confirm(words[a:b], inside):
-                first, last = a + first, a + last
-                if (name, first, last) in seen:
-                    continue
-                seen.add((name, first, last))
-                hits.append((saved, different, name, len(template), starts[first], ends[last - 1]))
-                if different == 0:
-                    cues -= {c for c in cues if first <= c < last}
-        return hits
+            if not hits:
+                return out
+            _, different, _, a, b, name, _, x = heappop(hits)
+            out.append((name, a, b, x.saved, x.size, different))
+            covered = [y for _, _, y in near[bisect_left(near, (a - reach,)) : bisect_left(near, (b,))] if not y.gone and y.last > a]
+            for y in covered:
+                y.gone = True
+                for rest in y.without(a, b):
+                    put(rest)
 
     def scan(self, text: str) -> list[tuple[str, int, int, int, int, int]]:
         """(license, start, end, bytes saved, words, differences) of every confirmed notice, by place."""
-        hits = [(2 * different - size, different, -saved, start + a, start + b, name, size, different) for start, end in blocks(text, self.most, self.cue) for saved, different, name, size, a, b in self.scan_block(text[start:end])]
-        # Of notices that overlap, the one with most words that agree, less those that don't; then the one with fewest
-        # differences, then the one that saves most; also of those that two windows or parts saw, whole or in part.
-        found: list[tuple[str, int, int, int, int, int]] = []
-        firsts: list[int] = []
-        lasts: list[int] = []
-        for _, _, saved, a, b, name, size, different in sorted(hits):
-            k = bisect_left(firsts, b)
-            if k == 0 or lasts[k - 1] <= a:
-                firsts.insert(k, a)
-                lasts.insert(k, b)
-                found.append((name, a, b, -saved, size, different))
-        return sorted(found, key=lambda x: (x[1], x[2], x[0]))
+        if not self.may_hold(text):
+            return []
+        spans = [m.span() for m in WORD.finditer(text)]
+        words = [text[a:b].lower() for a, b in spans]
+        found, block, end = [], [], 0
+        for x in self.places(words):
+            if block and x.first >= end:
+                found += self.scan_block(words, block)
+                block = []
+            block.append(x)
+            end = max(end, x.last)
+        if block:
+            found += self.scan_block(words, block)
+        return sorted((n, spans[a][0], spans[b - 1][1], saved, size, different) for n, a, b, saved, size, different in found)
 
 
 def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None) -> DataFrame:
     """One row per license notice in a whole text: doc_id, license, start, end (code points), bytes_saved, n_words, n_different, is_exact.
 
-    Null and empty texts, and those without a cue word, have none, as does an
-    empty table; very long texts are read whole, in parts that overlap. Repeated
+    Null and empty texts have none, as does an empty table; very long texts are
+    read whole, whatever stands between the words of a notice. Repeated
     rows give their notices each. Other columns, whatever their names, are not
     read. Of notices that overlap, the one with most words that agree, less
     those that don't, stays; of equals the one with fewest differences, then the
-    one that saves most bytes, then the first. ``bytes_saved`` may be
+    one that saves most bytes, then the first; of what that leaves of the others,
+    what is near enough by itself. Of stretches that are equally near to a
+    template the one that ends first is taken. ``bytes_saved`` may be
     zero or less for a short notice: it ranks, the wording decides.
     """
     ship(docs.sparkSession)
     templates = TEMPLATES if templates is None else templates
-    may = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(F.col("text").rlike(cue_pattern(templates)))
+    may = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("text <> ''")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner = Scanner(templates)
