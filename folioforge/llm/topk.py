@@ -14,8 +14,9 @@ index without being stretched to one length.
 
 The number of pivots follows the number of vectors. What moves between tasks is
 larger than a cell: cells of neighbouring pivots form a region of bounded size,
-and queries are dealt to slabs of bounded size. A group is one region and one
-slab; its cells are read as matrix products.
+and queries of neighbouring pivots form slabs. A group is one region and one
+slab; its cells are read as matrix products. Only the rows of cells that a slab
+asks for move to it.
 """
 
 from __future__ import annotations
@@ -198,7 +199,7 @@ def lay_out(stats: list, sizes: dict[int, int]) -> tuple[dict[int, Cells], list[
     return cells, rows
 
 
-VISITS = "query_id long, query binary, bound double, region int, cells array<int>"
+VISITS = "query_id long, query binary, bound double, slab int, region int, cells array<int>"
 HITS = "query_id long, query binary, vec_id long, score long, scored long"
 
 
@@ -208,7 +209,7 @@ def first_rows(n: int, k: int) -> int:
 
 
 def _visits(queries: DataFrame, pivots: Pivots, cells: dict[int, Cells], dtype: str, k: int, first: bool) -> DataFrame:
-    """Regions, and cells in them, that each (query_id, query, bound) has to read in this round.
+    """Regions, and cells in them, that each (query_id, query, bound, slab) has to read in this round.
 
     The first round takes the cells with the largest bounds until they hold
     enough rows; the second takes, of the others, those that may hold a score of
@@ -219,7 +220,7 @@ def _visits(queries: DataFrame, pivots: Pivots, cells: dict[int, Cells], dtype:
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)
-                ids, packed, bounds = part.column(0).to_pylist(), part.column(1).to_pylist(), part.column(2).to_pylist()
+                ids, packed, bounds, slabs = (c.to_pylist() for c in part.columns)
                 out: list[tuple] = []
                 for dim, at, x in _by_dim(packed, dtype):
                     c, x = cells[dim], x.astype(np.float64)
@@ -235,12 +236,12 @@ def _visits(queries: DataFrame, pivots: Pivots, cells: dict[int, Cells], dtype:
                         for cell in order.tolist():
                             for region in range(c.first_region[cell], c.first_region[cell] + c.regions[cell]):
                                 wanted.setdefault(region, []).append(cell)
-                        out += [(ids[i], packed[i], bounds[i], region, found) for region, found in wanted.items()]
+                        out += [(ids[i], packed[i], bounds[i], slabs[i], region, found) for region, found in wanted.items()]
                 if out:
-                    kinds = (pa.int64(), pa.binary(), pa.float64(), pa.int32(), pa.list_(pa.int32()))
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], names=["query_id", "query", "bound", "region", "cells"])
+                    kinds = (pa.int64(), pa.binary(), pa.float64(), pa.int32(), pa.int32(), pa.list_(pa.int32()))
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], names=["query_id", "query", "bound", "slab", "region", "cells"])
 
-    return queries.select("query_id", "query", "bound").mapInArrow(run, VISITS)
+    return queries.select("query_id", "query", "bound", "slab").mapInArrow(run, VISITS)
 
 
 def _best(who: np.ndarray, ids: np.ndarray, score: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -321,6 +322,15 @@ def read_region(held: pa.Table, asked: pa.Table, pivots: Pivots, dtype: str, exa
     return pa.table(list(columns), names=names)
 
 
+def asked_for(index: DataFrame, visits: DataFrame) -> DataFrame:
+    """Rows of the index, once for each slab that has a visit to their cell; the others don't move.
+
+    A cell has at most the rows of a region in each region, so no key of the join is large.
+    """
+    slabs = visits.select("region", "slab", F.explode("cells").alias("cell")).groupBy("region", "cell").agg(F.collect_set("slab").alias("slabs"))
+    return index.join(slabs, ["region", "cell"]).select(*index.columns, F.explode("slabs").alias("slab"))
+
+
 def _read(index: DataFrame, visits: DataFrame, pivots: Pivots, dtype: str, exact: bool, k: int) -> DataFrame:
     def run(held: pa.Table, asked: pa.Table) -> pa.Table:
         return read_region(held, asked, pivots, dtype, exact, k)
@@ -347,17 +357,27 @@ def top_k(vectors: DataFrame, is_query: Column | None = None, k: int = 5, with_c
     # At most MOST_PIVOTS * ANNULI cells for each dimension.
     stats = [c.asDict() for c in index.groupBy("dim", "pivot", "annulus").agg(F.min("dist").alias("low"), F.max("dist").alias("high"), F.max("norm2").alias("norm2"), F.count(F.lit(1)).alias("n")).collect()]
     exact = max((c["norm2"] for c in stats), default=0.0) < EXACT
-    queries = materialize(index.where(is_query).select(F.col("vec_id").alias("query_id"), F.col("vec").alias("query"), "dim").distinct(), "queries")
-    cells, rows = lay_out(stats, {r["dim"]: r["n"] for r in queries.groupBy("dim").agg(F.count(F.lit(1)).alias("n")).collect()})
+    # A repeated query row counts once, even if rounding gave its rows different pivots.
+    queries = materialize(index.where(is_query).groupBy(F.col("vec_id").alias("query_id"), F.col("vec").alias("query"), "dim").agg(F.min("pivot").alias("pivot")), "queries")
+    # At most MOST_PIVOTS rows for each dimension.
+    asking = sorted((r["dim"], r["pivot"], r["n"]) for r in queries.groupBy("dim", "pivot").agg(F.count(F.lit(1)).alias("n")).collect())
+    sizes: dict[int, int] = {}
+    before = []
+    for dim, pivot, n in asking:
+        before.append((dim, pivot, sizes.get(dim, 0), n))
+        sizes[dim] = sizes.get(dim, 0) + n
+    cells, rows = lay_out(stats, sizes)
     places = spark.createDataFrame(rows, "dim int, pivot int, annulus int, cell int, first_region int, regions int, slabs int")
-    slabs_of = spark.createDataFrame(sorted({(r[0], r[6]) for r in rows}), "dim int, slabs int")
+    slabs = {r[0]: r[6] for r in rows}
+    slabs_of = spark.createDataFrame([(*r, slabs[r[0]], sizes[r[0]]) for r in before], "dim int, pivot int, before long, n long, slabs int, size long")
     dealt = index.join(F.broadcast(places), ["dim", "pivot", "annulus"])
-    dealt = dealt.select("vec_id", "vec", "dist", "norm2", "pivot", "cell", (F.col("first_region") + F.pmod(F.xxhash64("row"), "regions")).cast("int").alias("region"), F.explode(F.sequence(F.lit(0), F.col("slabs") - 1)).alias("slab"))
-    queries = queries.select("query_id", "query")
+    dealt = dealt.select("vec_id", "vec", "dist", "norm2", "pivot", "cell", (F.col("first_region") + F.pmod(F.xxhash64("row"), "regions")).cast("int").alias("region"))
+    queries = _with_slab(queries, slabs_of).select("query_id", "query", "slab")
 
     def visit(asked: DataFrame, first: bool) -> DataFrame:
-        visits = _visits(asked, pivots, cells, dtype, k, first)
-        return _read(dealt, _with_slab(visits, slabs_of, dtype), pivots, dtype, exact, k)
+        # Written, as they are read twice: to find which rows are asked for, and with them.
+        visits = materialize(_visits(asked, pivots, cells, dtype, k, first), "visits")
+        return _read(asked_for(dealt, visits), visits, pivots, dtype, exact, k)
 
     best = Window.partitionBy("query_id", "query").orderBy(F.desc("score"), "vec_id")
     hits = materialize(visit(queries.withColumn("bound", F.lit(None).cast("double")), True), "hits")
@@ -371,8 +391,8 @@ def top_k(vectors: DataFrame, is_query: Column | None = None, k: int = 5, with_c
     return ranked.join(cost, ["query_id", "query"]).select("query_id", "rank", "vec_id", "score", "n_scored")
 
 
-def _with_slab(visits: DataFrame, slabs_of: DataFrame, dtype: str) -> DataFrame:
-    """The slab of a query, from what a visit carries."""
-    dim = (F.octet_length("query") / np.dtype(dtype).itemsize).cast("int")
-    dealt = visits.withColumn("dim", dim).join(F.broadcast(slabs_of), "dim")
-    return dealt.select("query_id", "query", "bound", "region", "cells", F.pmod(F.xxhash64("query_id", "query"), "slabs").cast("int").alias("slab"))
+def _with_slab(queries: DataFrame, slabs_of: DataFrame) -> DataFrame:
+    """Queries in order of their pivots fill one slab after the other, so that those of a slab ask for the same cells; those of one pivot are dealt by a hash."""
+    share = F.pmod(F.xxhash64("query_id", "query"), F.lit(1 << 20)) / F.lit(float(1 << 20))
+    slab = F.floor((F.col("before") + share * F.col("n")) * F.col("slabs") / F.col("size"))
+    return queries.join(F.broadcast(slabs_of), ["dim", "pivot"]).withColumn("slab", F.least(slab, F.col("slabs") - 1).cast("int"))

@@ -94,3 +94,32 @@ def test_a_hot_cell_and_its_queries_are_split(spark, monkeypatch):
 
 def test_empty_table(spark):
     assert run(spark, []) == []
+
+
+def test_only_rows_that_are_asked_for_move(spark, monkeypatch):
+    """Index rows that reach a slab are those of the cells that its queries visit, and no more; queries of a slab are near each other."""
+    monkeypatch.setattr(K, "SLAB_VALUES", 16 * 8)
+    monkeypatch.setattr(K, "REGION_VALUES", 16 * 200)
+    r = np.random.default_rng(5)
+    centres = r.normal(size=(40, 16))
+    rows = [(i, (centres[i % 40] + r.normal(size=16) * 0.05).astype(np.float32).tolist()) for i in range(4000)]
+    moved = []
+    asked_for = K.asked_for
+
+    def counted(index, visits):
+        out = asked_for(index, visits)
+        wanted = {(v["region"], c, v["slab"]) for v in visits.collect() for c in v["cells"]}
+        held = {}
+        for x in index.collect():
+            held[x["region"], x["cell"]] = held.get((x["region"], x["cell"]), 0) + 1
+        slabs = {v["slab"] for v in visits.collect()}
+        n = out.count()
+        assert n == sum(held[a, b] for a, b, _ in wanted)
+        moved.append((n, len(slabs)))
+        return out
+
+    monkeypatch.setattr(K, "asked_for", counted)
+    assert run(spark, rows) == brute(rows)
+    assert max(s for _, s in moved) == 10
+    # Not 4000 rows for each of the slabs.
+    assert all(n <= 0.1 * 4000 * s for n, s in moved), moved
