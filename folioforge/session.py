@@ -78,7 +78,11 @@ def together(jobs: Mapping[str, Callable[[], T]]) -> dict[str, T]:
         return job()
 
     session = SparkSession.getActiveSession()
-    inherit = inheritable_thread_target(session) if session else inheritable_thread_target
+
+    def inherit(job: Callable[[], T]) -> Callable[[], T]:
+        # Anew for each job: what is copied once would be one set of properties for all, the last pool among them.
+        return inheritable_thread_target(session)(job) if session else inheritable_thread_target(job)
+
     with ThreadPoolExecutor(max(1, len(jobs))) as pool:
         running = {name: pool.submit(inherit(partial(pooled, name, job))) for name, job in jobs.items()}
         return {name: job.result() for name, job in running.items()}

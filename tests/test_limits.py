@@ -62,3 +62,11 @@ def test_each_job_has_a_pool_of_its_name(spark):
     found = together({name: lambda: (context.getLocalProperty("spark.scheduler.pool"), context.getLocalProperty("spark.job.description")) for name in ("books", "authors")})
     context.setLocalProperty("spark.job.description", None)
     assert found == {"books": ("books", "outer"), "authors": ("authors", "outer")}
+    # Properties of one job are not another's, also while both are under way.
+    meet = threading.Barrier(3)
+
+    def own():
+        meet.wait()
+        return context.getLocalProperty("spark.scheduler.pool")
+
+    assert together(dict.fromkeys("abc", own)) == {"a": "a", "b": "b", "c": "c"}
