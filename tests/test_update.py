@@ -96,6 +96,25 @@ def test_runs_publish_versions_and_failures_change_nothing(spark, root, tmp_path
     assert status["running"] is False and status["runs_total"] == 5 and "title" in status["last_result"]
 
 
+def test_a_file_is_counted_while_it_is_written(spark, tmp_path):
+    """One job reads, writes and counts a file; a second one shows reasons, where there are any."""
+    context, entity = spark.sparkContext, ENTITIES["BookAuthor"]
+    good = [f"INSERT INTO `t` VALUES ({i},{i + 1},0),({i},{i + 2},1);" for i in range(500)]
+    bad = ["INSERT INTO `t` VALUES (1,NULL,0),(2,3,0);", "INSERT INTO `t` VALUES (1,2", "INSERT INTO `t` VALUES (7);"]
+    for name, lines, want, jobs in (("good", good, (1000, 0, 0), 1), ("bad", good + bad, (1001, 2, 1), 3), ("none", ["-- nothing"], (0, 0, 0), 1)):
+        path = tmp_path / f"{name}.sql"
+        path.write_text("\n".join(lines) + "\n")
+        context.setJobGroup(f"stage {name}", name)
+        out = U.stage(spark, entity, str(path), f"{tmp_path}/staged-{name}")
+        context.setLocalProperty("spark.jobGroup.id", None)
+        assert out.error is None and (out.staged, out.skipped, out.unparsed) == want
+        assert len(context.statusTracker().getJobIdsForGroup(f"stage {name}")) <= jobs, name
+        assert out.rows.count() == want[0] and len(out.examples) == want[1] + want[2]
+        assert out.rows.columns == [f.name for f in entity.fields] + ["_ord"]
+    assert "unparsed line" in U.stage(spark, entity, str(tmp_path / "bad.sql"), f"{tmp_path}/again").examples
+    assert "again" in U.stage(spark, entity, str(tmp_path / "bad.sql"), f"{tmp_path}/again").error
+
+
 def test_files_are_fetched_and_removed(spark, root, tmp_path):
     class Files(http.server.SimpleHTTPRequestHandler):
         def __init__(self, *a, **k):
