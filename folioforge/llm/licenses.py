@@ -21,6 +21,7 @@ from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from heapq import heappop, heappush
 from itertools import count, pairwise
+from pathlib import Path
 
 import ahocorasick
 import numpy as np
@@ -70,6 +71,20 @@ def words_of(template: str) -> list[str]:
     return [w.group().lower() for w in WORD.finditer(template)]
 
 
+def read_templates(folder: str) -> dict[str, str]:
+    """Whole licenses from a folder of text files, each by its file's name with ``-body``.
+
+    For ``scan_licenses(docs, TEMPLATES | read_templates(folder))``; they go to the tasks
+    with the function. Of links to one file, or files with the same words, the last name stays.
+    """
+    found = {}
+    for path in sorted(Path(folder).iterdir()):
+        if path.is_file():
+            text = path.read_text("utf-8", "replace")
+            found[tuple(words_of(text))] = (path.name, text)
+    return {f"{name}-body": text for name, text in found.values()}
+
+
 def parts_of(words: list[str]) -> list[tuple[int, list[str]]]:
     """(place, words) of the parts of a template: one more than words may differ, so that any match holds one of them unchanged."""
     n = int(TOLERANCE * len(words)) + 1

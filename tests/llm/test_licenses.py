@@ -1,6 +1,8 @@
+import os
 import random
 
 import numpy as np
+import pytest
 
 from folioforge.llm import licenses as L
 from helpers import documents, long_text
@@ -218,3 +220,30 @@ def test_operator_against_brute_force(spark):
         # The same notices with the same numbers of differences; of stretches that are equally near, either end may be taken.
         assert [(n, d) for n, _, _, d in found] == [(n, d) for n, _, _, d in want], text
         assert all(a < y and x < b for (_, a, b, _), (_, x, y, _) in zip(found, want, strict=True))
+
+
+SYSTEM = "/usr/share/common-licenses"
+
+
+@pytest.mark.skipif(not os.path.isdir(SYSTEM), reason="no license texts on this machine")
+def test_bodies_of_long_licenses(spark):
+    bodies = L.read_templates(SYSTEM)
+    r = random.Random(2)
+    rows, want = [], []
+    for i, (name, text) in enumerate((n, t) for n, t in sorted(bodies.items()) if n.startswith(("Apache-2.0", "GPL-3", "LGPL-2.1", "MPL-2.0"))):
+        words = text.split(" ")
+        plain = [k for k, w in enumerate(words) if w.isalpha()]
+        for k in r.sample(plain, 9):
+            words[k] = "quux"
+        rows.append((i, prose(r, 300) + " " + " ".join(words) + " " + prose(r, 300)))
+        want.append((i, name, 9))
+    got = [(x["doc_id"], x["license"], x["n_different"]) for x in L.scan_licenses(documents(spark, rows), L.TEMPLATES | bodies).collect()]
+    assert len(want) == 4 and sorted(got) == want
+
+
+def test_templates_of_a_folder(tmp_path):
+    (tmp_path / "a").write_text("Some terms of use")
+    (tmp_path / "b").write_text("some TERMS\nof use.")
+    (tmp_path / "c").write_bytes(b"other \xff terms")
+    (tmp_path / "sub").mkdir()
+    assert sorted(L.read_templates(str(tmp_path))) == ["b-body", "c-body"]
