@@ -339,7 +339,11 @@ def page_records(pages: DataFrame) -> DataFrame:
     taken = F.broadcast(winners.select(slot("same").alias("slot")).distinct())
     placed = rows.withColumn("slot", F.when(F.col("n") >= REVISIT_BYTES, slot("digest")))
     alone = placed.join(taken, "slot", "left_anti").select("page_id", "url", "payload", "digest", "n", F.lit(None).cast("string").alias("same"), F.lit(None).cast(rows.schema["page_id"].dataType).alias("winner"))
-    shared = placed.join(taken, "slot", "left_semi").join(winners, F.col("digest") == F.col("same"), "left").select(*alone.columns)
+    # Of those, only what may be a winner takes its payload along: revisits have none.
+    first = lambda digest, page: F.pmod(F.xxhash64(digest, page), F.lit(SLOTS))
+    firsts = F.broadcast(winners.select(first("same", "winner").alias("first")).distinct().withColumn("may_win", F.lit(True)))
+    lighter = placed.join(taken, "slot", "left_semi").withColumn("first", first("digest", "page_id")).join(firsts, "first", "left").withColumn("payload", F.when(F.col("may_win"), F.col("payload")))
+    shared = lighter.join(winners, F.col("digest") == F.col("same"), "left").select(*alone.columns)
     joined = alone.union(shared)
     revisit = F.col("same").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("winner"))
     urn = lambda c: F.concat(F.lit("<urn:page:"), F.coalesce(F.col(c).cast("string"), F.lit("null")), F.lit(">"))

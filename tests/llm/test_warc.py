@@ -50,6 +50,15 @@ def test_round_trip_pushes_record_types_and_skips_payloads(spark, monkeypatch):
     assert "Union" in plan and "Filter" not in plan
 
 
+@pytest.mark.parametrize("slots", [1, 7])
+def test_slots_that_clash_change_nothing(spark, monkeypatch, slots):
+    monkeypatch.setattr(warc, "SLOTS", slots)
+    test_round_trip(spark)
+    records = warc.page_records(pages(spark, ROWS)).collect()
+    assert all((r["payload"] is None) == (r["record_type"] == "revisit") for r in records)
+    assert all(hashlib.sha1(r["payload"]).hexdigest() == r["payload_digest"].removeprefix("sha1:") for r in records if r["payload"] is not None)
+
+
 def test_empty_table(spark):
     assert warc.round_trip(pages(spark, [])).collect() == []
 
