@@ -102,7 +102,7 @@ def resolve(links: DataFrame, *ends: tuple[str, DataFrame, str], source: int) ->
 
 
 def sync_links(old: DataFrame, wanted: DataFrame, books: DataFrame, source: int, ends: Sequence[str], values: Sequence[str] = ()) -> DataFrame:
-    """Links of this source's books become ``wanted``; other sources' links stay.
+    """Links of this source's books, or whatever the first end is, become ``wanted``; other sources' links stay.
 
     ``wanted`` has one row per pair. Rows of ``old`` whose pair is wanted stay,
     with new ``values``, duplicates included; missing pairs are inserted with a
@@ -111,9 +111,9 @@ def sync_links(old: DataFrame, wanted: DataFrame, books: DataFrame, source: int,
     and marks the unwanted rows; the books' join finds which of those go.
     """
     merged = upsert(old, wanted, ends, values)
-    mine = books.where(F.col("source") == source).select(F.col("id").alias("book"), F.lit(True).alias("_mine"))
+    mine = books.where(F.col("source") == source).select(F.col("id").alias(ends[0]), F.lit(True).alias("_mine"))
     unwanted = F.col("_action") == "keep"
-    marked = merged.join(mine, "book", "left")
+    marked = merged.join(mine, ends[0], "left")
     return marked.where(~(unwanted & F.col("_mine").isNotNull())).select(*old.columns, "_action")
 
 

@@ -17,9 +17,8 @@ from folioforge.functions import text as X
 from folioforge.operators.dedup import last_wins
 from folioforge.operators.gate import gate_counts, passes
 from folioforge.operators.merge import assign_ids, flag_languages, latest, merge_entity, merge_payload, resolve, sync_links, update_only, upsert
-from folioforge.plans.catalogue import ENTITIES as ENTITY_TABLES
-from folioforge.plans.catalogue import LINKS, PAYLOADS, merge_catalogue
-from folioforge.plans.spec import CATALOGUE, ENTITIES, Entity
+from folioforge.plans.catalogue import merge_catalogue
+from folioforge.plans.spec import CATALOGUE, ENTITIES, TABLES, Entity
 from folioforge.plans.update import ABANDONED, Staged, StageFailed, Updater, repair_runs, totals
 from folioforge.session import materialize, scratch_path, together
 from folioforge.sources import snapshot
@@ -352,6 +351,11 @@ def run_log_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---- the whole plan ---------------------------------------------------------
 
+#: What the oracle's SQL is made from. Entities: staged table and values; links: the other end's table and column, and values; texts: owner's table and column.
+ENTITY_TABLES = {n: (t.entities[0].table, t.values) for n, t in TABLES.items() if t.mode == "entity"}
+LINKS = {n: (t.rules.refers[1][1], t.ends[1], t.values) for n, t in TABLES.items() if t.mode == "link"}
+PAYLOADS = {n: (t.rules.refers[0][1], t.ends[0]) for n, t in TABLES.items() if t.mode == "text"}
+
 #: A snapshot of the catalogue from the given tables: staged table to columns, table, and the rows of the first and of the second run.
 STAGED = {
     "staging_authors": ("c_custkey::INT AS remote_id, c_name AS first_name, CASE WHEN {run} = 2 AND c_custkey % 9 = 0 THEN 'new' ELSE c_mktsegment END AS last_name, '' AS middle_name, c_custkey AS _ord", "customer", "c_custkey % 8 <> 1", "c_custkey % 7 <> 2"),
