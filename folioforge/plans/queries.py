@@ -653,6 +653,8 @@ def dump_stage_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return good_rows(read_dump(spark, path, ENTITIES["BookGenre"])).select("book_remote_id", "genre_remote_id")
 
 
+#: Entity that is written as one gzip'd file, as upstream does with all; of the others each task writes one.
+ONE_FILE = "Genre"
 #: Entities that given tables are written as: table, its number, and SQL for what is read back.
 _BODY = "CASE WHEN doc_id % 5 <> 0 THEN {} END"
 DUMPED = {
@@ -696,7 +698,7 @@ def _literals() -> dict[str, list[F.Column]]:
 
 @query(" UNION ALL ".join(f"SELECT '{name}' AS entity, sha256({_joined(columns, '({})::VARCHAR')}) AS content_sha256 FROM {table}" for name, (table, _, columns) in DUMPED.items()))
 def dump_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The entities that no other query reads, each from one gzip'd dump file, all at the same time."""
+    """The entities that no other query reads, from gzip'd dump files, all at the same time."""
     literals = _literals()
 
     def read(name: str) -> DataFrame:
@@ -705,7 +707,7 @@ def dump_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
         if table == "documents":
             rows = rows.withColumns({"marked": _marked(F.col("text"), PLAIN_MARKUP), "plain": _marked(F.col("text"), ())})
         row = F.concat(F.lit("("), F.concat_ws(",", *literals[name]), F.lit(")"))
-        path = _dump(rows, row, F.col(key), spark, one_file=True)
+        path = _dump(rows, row, F.col(key), spark, one_file=name == ONE_FILE)
         values = [f.name for f in ENTITIES[name].fields]
         return good_rows(read_dump(spark, path, ENTITIES[name])).select(F.lit(name).alias("entity"), F.sha2(F.expr(_joined(values, "string({})")), 256).alias("content_sha256"))
 
