@@ -127,13 +127,15 @@ def sample_features(docs: DataFrame, fit_docs: int) -> list:
     A row is in or out by a hash of its id, with a chance that its language's number of rows sets.
     Languages are the ``LANGUAGES`` most frequent ones at most; a model has weights for each.
     """
-    counts = docs.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()
+    lang = F.col("lang").cast("string").alias("lang")
+    counts = docs.groupBy(lang).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()
     if not counts:
         return []
     share = max(1, fit_docs // len(counts))
-    chances = docs.sparkSession.createDataFrame([(r["lang"], share / r["n"]) for r in counts], "lang string, chance double")
+    # A literal, not a table of local rows: those pass through Python workers of a kind of their own, which stay beside the others.
+    chances = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], share / r["n"])])
     u = lambda salt: F.pmod(F.xxhash64("doc_id", F.lit(salt)), F.lit(1 << 20)) / float(1 << 20)
-    chosen = docs.select("doc_id", "text", F.col("lang").cast("string").alias("lang")).join(F.broadcast(chances), "lang").where(u("fit") < F.col("chance")).select("lang", "text", (u("calibrate") < 0.25).alias("calibrate"))
+    chosen = docs.select("doc_id", "text", lang).where(u("fit") < chances[F.col("lang")]).select("lang", "text", (u("calibrate") < 0.25).alias("calibrate"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

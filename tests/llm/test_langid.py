@@ -97,3 +97,15 @@ def test_a_dirty_lang_column_keeps_the_most_frequent_languages(spark, monkeypatc
     rows = corpus(300) + [(1000 + i, "qq ww ee rr", f"junk{i}", "s") for i in range(60)]
     model = langid.fit(documents(spark, rows))
     assert model.languages == ["de", "en", "fr"]
+
+
+def test_sampling_makes_no_table_of_local_rows(spark, monkeypatch):
+    # Such rows pass through Python workers of a kind of their own, which stay in an executor's memory beside the others.
+    docs = documents(spark, corpus(60) + [(100, "the and of", None, "s"), (None, "der die das", "de", "s")]).where("lang IS NOT NULL")
+
+    def refuse(*args, **named):
+        raise AssertionError("a table of local rows")
+
+    monkeypatch.setattr(type(spark), "createDataFrame", refuse)
+    rows = langid.sample_features(docs, 10_000)
+    assert sorted(r[0] for r in rows) == ["de"] * 21 + ["en"] * 20 + ["fr"] * 20
