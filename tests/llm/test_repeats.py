@@ -64,6 +64,18 @@ def test_spans_and_bytes(spark):
         Repeats(1)
 
 
+def test_passages_of_many_words_below_the_length_stay(spark):
+    """What counts is 400 bytes, not words: a shared passage of more than 50 words in 399 bytes is no repeat, in 400 it is."""
+    r = random.Random(8)
+    words = " ".join("".join(r.choice("abcdefgh") for _ in range(5)) for _ in range(67))[:400]
+    for size in (399, 400):
+        passage = words[:size]
+        rows = [(i, f"{i}{i}{i} before{i}" + passage + f"{i} after {i}{i}") for i in range(5)]
+        got = sorted(map(tuple, repeat_report(documents(spark, rows)).collect()))
+        assert got == brute(rows, 400)
+        assert len(passage.split()) > 50 and [row[2] for row in got] == [size if size == 400 else 0] * 5
+
+
 def test_merged():
     import numpy as np
 
