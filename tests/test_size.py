@@ -1,0 +1,45 @@
+"""What must not grow with the tables: lines and groups of a dump, what joins bring to the driver, what is written to disk on the way."""
+
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from folioforge.operators import merge as M
+from folioforge.plans import queries as Q
+from folioforge.plans.spec import ENTITIES
+from folioforge.sources import dump as D
+
+SF = "/root/testdata/sf0.001"
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
+def test_no_line_of_a_dump_holds_more_rows_than_a_line_should(spark):
+    """Line items have seven numbers: as numbers of their lines they put all rows of a table into one line, and into one task's memory."""
+    for name, path in Q._dump_snapshot(spark, SF, 1).items():
+        rows = D.parse_lines(D.read_lines(spark, path)).groupBy("_ord.block", "_ord.line").count()
+        most = rows.agg(F.max("count")).first()[0]
+        assert most and most <= 50, (name, most)
+
+
+def test_rows_of_one_key_are_in_the_order_that_the_last_wins_by(spark):
+    rows = spark.range(3000, numPartitions=7).selectExpr("int(id % 20) AS book", "int(id % 3) AS author", "int(3000 - id) AS _ord", "int(3000 - id) AS position")
+    path = Q._dump(rows, F.concat_ws(",", "book", "author", "position"), spark, ["book", "author"], "_ord")
+    read = D.good_rows(D.read_dump(spark, path, ENTITIES["Translator"]))
+    assert read.count() == 3000
+    last = M.last_wins(read, ["book_remote_id", "author_remote_id"])
+    want = rows.groupBy("book", "author").agg(F.max("position"))
+    assert sorted(tuple(r) for r in last.drop("_ord").collect()) == sorted(tuple(r) for r in want.collect())
+
+
+def test_dumps_of_one_file_and_of_no_rows(spark):
+    rows = spark.range(130, numPartitions=4).selectExpr("int(id) AS id", "'x' AS name")
+    path = Q._dump(rows, F.concat_ws(",", "id", F.lit("'x'")), spark, one_file=True)
+    assert path.endswith(".gz")
+    assert D.good_rows(D.read_dump(spark, path, ENTITIES["Sequence"])).count() == 130
+    none = Q._dump(rows.where("id < 0"), F.concat_ws(",", "id", F.lit("'x'")), spark)
+    assert D.read_dump(spark, none, ENTITIES["Sequence"]).count() == 0
