@@ -1,6 +1,8 @@
 """What must not grow with the tables: lines and groups of a dump, what joins bring to the driver, what is written to disk on the way."""
 
 import os
+import subprocess
+import sys
 
 import pytest
 from pyspark.sql import functions as F
@@ -17,6 +19,13 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+@pytest.fixture
+def ids(spark, tmp_path):
+    """20,000 compressed ids look like a few kB: millions of them, with texts beside them, still look like less than the 10 MB that Spark broadcasts."""
+    spark.range(20000).selectExpr("int(id) AS id", "smallint(1) AS source", "int(id) AS remote_id").write.parquet(f"{tmp_path}/books")
+    return spark.read.parquet(f"{tmp_path}/books")
+
+
 @pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
 def test_no_line_of_a_dump_holds_more_rows_than_a_line_should(spark):
     """Line items have seven numbers: as numbers of their lines they put all rows of a table into one line, and into one task's memory."""
@@ -43,3 +52,31 @@ def test_dumps_of_one_file_and_of_no_rows(spark):
     assert D.good_rows(D.read_dump(spark, path, ENTITIES["Sequence"])).count() == 130
     none = Q._dump(rows.where("id < 0"), F.concat_ws(",", "id", F.lit("'x'")), spark)
     assert D.read_dump(spark, none, ENTITIES["Sequence"]).count() == 0
+
+
+def test_joins_with_ids_are_not_broadcast_however_small_their_files(spark, ids):
+    links = spark.range(100).selectExpr("int(id) AS book_remote_id", "int(id) AS author_remote_id")
+    found = M.resolve(links, ("book_remote_id", ids, "book"), ("author_remote_id", ids, "author"), source=1)
+    old = spark.range(100).selectExpr("int(id) AS id", "int(id) AS book", "int(id) AS author")
+    texts = spark.range(100).selectExpr("int(id) AS id", "int(id) AS book", "'f' AS file")
+    for df in (found, M.sync_links(old, found, ids, 1, ["book", "author"]), M.update_only(texts, ids.selectExpr("id AS book", "'g' AS file"), "book", "file")):
+        assert "Broadcast" not in plan(df)
+
+
+def test_shuffle_files_of_jobs_go_when_they_end(tmp_path):
+    """In a process of its own, as the folder of shuffle files is set before a session begins: what ten jobs shuffle is gone after them, and the setting is as it was."""
+    code = f"""
+import os, sys, time
+sys.path.insert(0, {os.path.dirname(os.path.dirname(os.path.abspath(__file__)))!r})
+os.environ["SPARK_LOCAL_DIRS"] = {str(tmp_path)!r}
+from pyspark.sql import SparkSession
+from folioforge.session import FREE_SHUFFLES, materialize, together
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "4").getOrCreate()
+frames = together({{str(k): lambda k=k: materialize(spark.range(20000).selectExpr("sha2(string(id), 256) AS x").repartition("x").groupBy("x").count(), "x") for k in range(10)}})
+assert sum(df.count() for df in frames.values()) == 200000
+time.sleep(5)
+left = sum(os.path.getsize(os.path.join(d, f)) for d, _, names in os.walk({str(tmp_path)!r}) for f in names if f.startswith("shuffle_"))
+print("left", left, spark.conf.get(FREE_SHUFFLES))
+"""
+    said = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=300).stdout
+    assert said.splitlines()[-1].startswith("left ") and int(said.split()[-2]) < 10_000 and said.split()[-1] == "false", said
