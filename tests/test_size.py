@@ -63,6 +63,12 @@ def test_joins_with_ids_are_not_broadcast_however_small_their_files(spark, ids):
         assert "Broadcast" not in plan(df)
 
 
+def test_contents_are_joined_with_ids_without_broadcast(spark, ids):
+    other = ids.selectExpr("id", "id AS book", "id AS author", "id AS genre", "id AS sequence", "smallint(1) AS position", "'' AS title", "'' AS text", "'' AS file")
+    tables = {n: ids.selectExpr("*", *[f"'' AS {v}" for v in Q.ENTITY_TABLES[n][1]]) if n in Q.ENTITY_TABLES else other for n in Q.TABLES}
+    assert "Broadcast" not in plan(Q._contents(tables))
+
+
 def test_shuffle_files_of_jobs_go_when_they_end(tmp_path):
     """In a process of its own, as the folder of shuffle files is set before a session begins: what ten jobs shuffle is gone after them, and the setting is as it was."""
     code = f"""
