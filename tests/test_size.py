@@ -1,5 +1,6 @@
 """What must not grow with the tables: lines and groups of a dump, what joins bring to the driver, what is written to disk on the way."""
 
+import gzip
 import os
 import subprocess
 import sys
@@ -69,6 +70,21 @@ def test_contents_are_joined_with_ids_without_broadcast(spark, ids):
     assert "Broadcast" not in plan(Q._contents(tables))
 
 
+def test_lines_are_dealt_out_only_where_files_are_too_few(spark, tmp_path):
+    for k in range(8):
+        with gzip.open(tmp_path / f"{k}.gz", "wt") as out:
+            out.write("INSERT INTO t VALUES (1,'a'),(2,'b');\n")
+    cores, tasks = spark.sparkContext.defaultParallelism, spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        assert cores <= 8
+        many, one = (D.read_dump(spark, path, ENTITIES["Sequence"]) for path in (str(tmp_path), str(tmp_path / "0.gz")))
+        assert "Exchange" not in plan(many) and "Exchange" in plan(one)
+        assert (many.count(), one.count()) == (16, 2)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", tasks)
+
+
 def test_shuffle_files_of_jobs_go_when_they_end(tmp_path):
     """In a process of its own, as the folder of shuffle files is set before a session begins: what ten jobs shuffle is gone after them, and the setting is as it was."""
     code = f"""
